@@ -1,0 +1,62 @@
+import data
+from pyspark.sql import functions as F
+from tidemark.operators import catalog, constraints
+from tidemark.operators.results import save_result
+
+
+def test_discovery_follows_columns_and_partitions(spark, lake, tmp_path):
+    folder, name = str(tmp_path / "landed"), f"{lake.database}.landed"
+    sold = data.orders(spark, data.order(1, "2025-01-15")).withColumn("year", F.year("order_date"))
+    sold.write.partitionBy("year").parquet(folder)
+    catalog.discover_table(spark, name, folder)
+    more = data.orders(spark, data.order(2, "2026-01-15")).withColumn("channel", F.lit("web"))
+    more.withColumn("year", F.year("order_date")).write.mode("append").partitionBy("year").parquet(folder)
+    found = catalog.discover_table(spark, name, folder)
+    assert data.values(found, "order_id", "channel", "year") == [(1, None, 2025), (2, "web", 2026)]
+    shown = [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    assert sorted(shown) == ["year=2025", "year=2026"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_profile_reports_a_missing_table(spark):
+    people = data.customers(spark, (1, "ann", "2025-01-01", "2025-01-01"))
+    found = catalog.table_profile(spark, {"customers": people, "orders": None})
+    assert data.values(found.where("found"), "column_name", "row_count")[0] == ("created_at", 1)
+    missing = found.where("NOT found").collect()
+    assert [(r.table_name, r.row_count) for r in missing] == [("orders", None)]
+
+
+def test_constraint_violations(spark):
+    people = data.customers(
+        spark,
+        (1, "ann", "2025-01-01", "2025-01-01"),
+        (1, "ann", "2025-01-01", "2025-01-01"),
+        (2, None, "2025-01-01", "2025-01-01"),
+    ).withColumn("email", F.when(F.col("name").isNotNull(), F.col("email")))
+    sold = data.orders(
+        spark,
+        data.order(1, "2025-01-15", customer=7),
+        data.order(2, "2025-01-15", customer=7),
+        data.order(2, "2025-01-15", customer=None),
+    )
+    found = constraints.check_constraints(people, sold)
+    broken = {(r.table_name, r.constraint_name): r.violations for r in found.collect() if r.violations}
+    assert broken == {
+        ("customers", "name not null"): 1,
+        ("customers", "email not null"): 1,
+        ("customers", "customer_id unique"): 1,
+        ("customers", "email unique"): 1,
+        ("orders", "order_id unique"): 1,
+        ("orders", "customer_id references"): 2,
+    }
+
+
+def test_empty_tables_break_no_constraint(spark):
+    found = constraints.check_constraints(data.customers(spark).limit(0), data.orders(spark).limit(0))
+    assert {r.violations for r in found.collect()} == {0} and found.count() == 11
+
+
+def test_results_are_replaced(spark, tmp_path):
+    for n in (3, 2):
+        folder = save_result(spark.range(n), str(tmp_path) + "/", "report")
+    assert folder == f"{tmp_path}/report" and spark.read.parquet(folder).count() == 2

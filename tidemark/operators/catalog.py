@@ -23,10 +23,10 @@ def discover_table(spark: SparkSession, name: str, folder: str) -> DataFrame:
     New columns are added, existing ones keep their type, and partitions are
     added or dropped as folders came and went.
     """
-    found = read_merged(spark, folder)
     if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=folder, source="parquet", schema=found.schema)
+        spark.catalog.createTable(name, path=folder, source="parquet", mergeSchema="true")
     else:
+        found = read_merged(spark, folder)
         known = {c.lower() for c in spark.table(name).columns}
         new = [f for f in found.schema if f.name.lower() not in known]
         if new:

@@ -37,42 +37,52 @@ def after_mark(df: DataFrame, mark: Mark | None, key: str) -> DataFrame:
     return df.where((stamp >= last) & ((stamp > last) | (F.col(key) > last_key)))
 
 
-def high_mark(df: DataFrame, key: str) -> Mark | None:
-    """The mark after reading all rows of ``df``; None if it has no rows."""
-    return summarize(df, key).mark
-
-
 @dataclass(frozen=True)
 class Summary:
-    """What one pass over a batch tells: its size, its key range and its mark."""
+    """What one pass over a batch tells."""
 
     rows: int
     low_key: Any
     high_key: Any
     mark: Mark | None
+    repeated: bool
+
+    @staticmethod
+    def empty() -> Summary:
+        return Summary(0, None, None, None, False)
+
 
+def summarize(df: DataFrame, key: str, unique: bool = False) -> Summary:
+    """Size, key range and mark of a batch, and whether any key repeats in it.
 
-def summarize(df: DataFrame, key: str) -> Summary:
+    Only the key and ``updated_at`` are read. Keys known to be ``unique`` are not
+    shuffled to look for repeats.
+    """
     stamped = "updated_at" in df.columns
-    order = F.struct("updated_at", key) if stamped else F.struct(key)
+    stamp = F.col("updated_at") if stamped else F.lit(None)
+    keyed = df.select(key, stamp.alias("at"), F.lit(1).cast("bigint").alias("n"))
+    if not unique:
+        keyed = keyed.groupBy(key).agg(F.max("at").alias("at"), F.sum("n").alias("n"))
     row = (
-        df.agg(
-            F.count(F.lit(1)).alias("n"),
+        keyed.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("keys"),
             F.min(key).alias("low"),
             F.max(key).alias("high"),
-            F.max(order).alias("last"),
-        )
-        .select(
-            "n",
-            "low",
-            "high",
-            (F.col("last.updated_at").cast("string") if stamped else F.lit(None)).alias("at"),
-            F.col(f"last.`{key}`").alias("at_key"),
+            F.max(F.struct("at", key)).alias("last"),
         )
+        .withColumns({"at": F.col("last.at").cast("string"), "at_key": F.col(f"last.`{key}`")})
         .first()
     )
-    mark = Mark(row["at"], row["at_key"]) if row["n"] else None
-    return Summary(row["n"], row["low"], row["high"], mark)
+    if not row["rows"]:
+        return Summary.empty()
+    mark = Mark(row["at"], row["at_key"])
+    return Summary(row["rows"], row["low"], row["high"], mark, row["rows"] > row["keys"])
+
+
+def high_mark(df: DataFrame, key: str) -> Mark | None:
+    """The mark after reading all rows of ``df``; None if it has no rows."""
+    return summarize(df, key, unique=True).mark
 
 
 def changed_customers(df: DataFrame, since: Moment) -> DataFrame:

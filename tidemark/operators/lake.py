@@ -12,7 +12,8 @@ done.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tidemark.functions.columns import PARTITION_COLUMNS, partition_key
 from tidemark.operators.increments import Summary, summarize
 from tidemark.operators.merge import latest_per_key, without_stale
 from tidemark.operators.ranking import latest_rows
-from tidemark.session import session_conf, shared_dir
+from tidemark.session import few_listing_tasks, session_conf, shared_dir
 from tidemark.sources.files import list_files, list_partition_files
 
 # Size to which written files are laid out.
@@ -31,6 +32,15 @@ TARGET_FILE_BYTES = 128 * 1024 * 1024
 DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
+def _listing_tuned(method: Callable) -> Callable:
+    @wraps(method)
+    def tuned(self, *args, **kwargs):
+        with few_listing_tasks(self.spark):
+            return method(self, *args, **kwargs)
+
+    return tuned
+
+
 class Lake:
     """A database of lake tables and the staging database beside it."""
 
@@ -62,8 +72,8 @@ class LakeTable:
     def __init__(self, lake: Lake, name: str, key: str):
         self.lake = lake
         self.spark = lake.spark
-        self.short_name = name
-        self.name = f"`{lake.database}`.`{name}`"
+        self.short_name = name.lower()
+        self.name = f"`{lake.database}`.`{self.short_name}`"
         self.key = key
 
     # Reading
@@ -74,6 +84,10 @@ class LakeTable:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    @_listing_tuned
+    def count(self) -> int:
+        return self.read().count()
+
     @property
     def location(self) -> str:
         return f"{self.lake.location}/{self.short_name}"
@@ -103,48 +117,51 @@ class LakeTable:
 
     # Writing
 
-    def create(self, df: DataFrame, unique: bool = False) -> None:
-        """Write the first content; ``unique`` says that no key repeats in it."""
+    @_listing_tuned
+    def create(self, df: DataFrame, unique: bool = False) -> Summary:
+        """Write the first content, in one pass over ``df``.
+
+        Unless the keys are known to be ``unique``, repeated ones are looked for
+        in the written table and reduced to their latest row.
+        """
         columns = ", ".join(_column_ddl(f) for f in df.schema)
         self.spark.sql(
             f"CREATE TABLE {self.name} ({columns}) USING parquet "
             f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})"
         )
-        self._insert(df if unique else latest_per_key(df, self.key), overwrite=True)
+        self._insert(df, overwrite=True)
+        summary = summarize(self.read(), self.key, unique)
+        if summary.repeated:
+            self._reduce_repeated()
+        return summary
 
-    def upsert(self, batch: DataFrame, only_newer: bool = False) -> Summary:
+    @_listing_tuned
+    def upsert(
+        self, batch: DataFrame, only_newer: bool = False, unique: bool = False
+    ) -> Summary:
         """Replace rows by key and insert new ones; create the table if missing.
 
-        Returns the batch's size and mark. Running the same batch again leaves
-        the same rows.
+        Of a key that repeats in the batch the latest row counts; ``unique`` says
+        that none does. Running the same batch again leaves the same rows.
         """
         if not self.exists():
-            if batch.isEmpty():
-                return Summary(0, None, None, None)
-            self.create(batch)
-            return summarize(self.read(), self.key)
+            return Summary.empty() if batch.isEmpty() else self.create(batch, unique)
         self.finish_interrupted()
         if only_newer:
             batch = without_stale(batch, self.read(), self.key)
-        staged = self._stage("batch", latest_per_key(batch, self.key))
-        try:
-            rows = self.spark.table(staged)
-            summary = summarize(rows, self.key)
-            if summary.rows:
-                self._merge(rows, summary)
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        return summary
+        return self._merge_staged(batch, unique)
 
+    @_listing_tuned
     def refresh(self, df: DataFrame) -> None:
         """Replace the whole content."""
         if not self.exists():
-            return self.create(df)
+            self.create(df)
+            return
         self.finish_interrupted()
         self._add_columns(df)
-        numbers = _numbers(self.partitions().collect())
-        self._replace(latest_per_key(df, self.key), numbers)
+        self._replace(latest_per_key(df, self.key), _numbers(self.partitions().collect()))
 
+    @_listing_tuned
     def compact(self, max_files: int = 10, target_bytes: int = TARGET_FILE_BYTES) -> int:
         """Merge small files when the table has more than ``max_files`` files.
 
@@ -187,6 +204,29 @@ class LakeTable:
 
     # Steps of a merge
 
+    def _merge_staged(self, batch: DataFrame, unique: bool) -> Summary:
+        """Merge a batch from a staged copy, so that its source is read once."""
+        names = [self._stage("batch", batch)]
+        try:
+            rows = self.spark.table(names[0])
+            summary = summarize(rows, self.key, unique)
+            if summary.repeated:
+                names.append(self._stage("batch", latest_per_key(rows, self.key)))
+                rows = self.spark.table(names[1])
+            if summary.rows:
+                self._merge(rows, summary)
+        finally:
+            for name in names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return summary
+
+    def _reduce_repeated(self) -> None:
+        """Merge the latest row of every repeated key over all its rows."""
+        counts = self.read().groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+        repeated = counts.where(F.col("n") > 1).select(self.key)
+        rows = self.read().join(repeated, self.key, "left_semi")
+        self._merge_staged(latest_per_key(rows, self.key), unique=True)
+
     def _merge(self, rows: DataFrame, summary: Summary) -> None:
         self._add_columns(rows)
         target = set(_numbers(rows.select(partition_key().alias("number")).distinct().collect()))
@@ -257,18 +297,19 @@ class LakeTable:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {', '.join(specs)}")
 
     def _add_columns(self, rows: DataFrame) -> None:
-        known = set(self.read().columns)
-        new = [f for f in rows.schema if f.name not in known]
+        known = {c.lower() for c in self.read().columns}
+        new = [f for f in rows.schema if f.name.lower() not in known]
         if new:
             columns = ", ".join(_column_ddl(f) for f in new)
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({columns})")
 
     def _in_table_order(self, df: DataFrame) -> DataFrame:
         """Columns by the table's order; those missing become NULL."""
+        given = {c.lower() for c in df.columns}
         return df.select(
             *[
                 F.col(f"`{f.name}`")
-                if f.name in df.columns
+                if f.name.lower() in given
                 else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in self.read().schema
             ]

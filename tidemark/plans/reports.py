@@ -175,3 +175,17 @@ def latest_changes(
     """The latest customer changes within a window."""
     recent = customers.where(F.col("updated_at") >= minus(as_of, window))
     return customer_changes(latest_rows(recent, "customer_id", k))
+
+
+# Reports over the customers and orders of a lake, by name.
+REPORTS = {
+    "customer_orders_summary": customer_orders_summary,
+    "monthly_sales_trend": lambda customers, orders: monthly_sales_trend(orders),
+    "top_products": lambda customers, orders: top_products(orders),
+    "customer_count": lambda customers, orders: customer_count(customers),
+    "order_count": lambda customers, orders: order_count(orders),
+    "total_revenue": lambda customers, orders: total_revenue(orders),
+    "top5_customers": top_customers,
+    "top5_products": lambda customers, orders: top_products_by_revenue(orders),
+    "customer_lifetime_value": customer_lifetime_value,
+}

@@ -55,3 +55,17 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """List a partitioned table's folders with a few tasks per core.
+
+    By default every folder is a task of its own, and starting it takes longer
+    than the listing.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with session_conf(
+        spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)}
+    ):
+        yield
