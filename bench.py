@@ -22,6 +22,7 @@ def main() -> None:
         name: given(spark, folder, name).count()
         for name in ("customer", "supplier", "part", "orders", "lineitem")
     }
+    QUERIES["order_count"](spark, folder).collect()  # so that start-up is not timed
     seconds: dict[str, float] = {}
     for name, query in QUERIES.items():
         start = time.perf_counter()

@@ -42,6 +42,15 @@ def test_table_without_updated_at_is_read_by_key(spark):
     assert ids(increments.after_mark(df, mark, "id"), "id") == [3]
 
 
+def test_rows_that_get_their_first_stamp_are_read(spark):
+    sold = data.orders(spark, data.order(1, "2025-01-01"), data.order(2, "2025-01-01"))
+    bare = sold.selectExpr("order_id", "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at")
+    mark = increments.high_mark(bare, "order_id")
+    assert mark == Mark(None, 2)
+    later = bare.where("order_id = 2").unionByName(sold.where("order_id = 1").select(*bare.columns))
+    assert ids(increments.after_mark(later, mark, "order_id")) == [1]
+
+
 def test_summary_tells_repeats_and_range(spark):
     sold = data.orders(
         spark, data.order(4, "2025-01-01"), data.order(4, "2025-01-03"), data.order(7, "2025-01-02")

@@ -4,7 +4,9 @@ import data
 import pytest
 from pyspark.sql import functions as F
 from tidemark.functions.audit import prepared
+from tidemark.operators.increments import summarize
 from tidemark.operators.lake import LakeTable
+from tidemark.session import session_conf
 from tidemark.sources.files import list_files
 
 
@@ -219,13 +221,30 @@ def test_files_left_by_a_dead_append_do_not_double_rows(spark, lake):
     t.create(rows(spark, data.order(1, "2025-01-15")))
     batch = rows(spark, data.order(2, "2025-01-16"))
     batch.drop("year", "month", "day").write.parquet(f"{t.location}/year=2025/month=1/day=16")
+    manifest = spark.read.text(t.write_manifest())
+    assert manifest.count() == 1
     t.upsert(batch)
     assert stored(t) == on_disk(t) and t.read().count() == 2
 
 
+def test_many_keys_are_not_broadcast(spark, lake, monkeypatch):
+    t = table(lake)
+    batch = data.orders(spark, data.order(1, "2025-01-15"), data.order(2, "2025-01-15"))
+    summary = summarize(batch, "order_id")
+    joined = spark.range(9).join(t._keys(batch, summary), F.col("id") == F.col("order_id"))
+    assert "BroadcastHashJoin" in plan(joined)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        monkeypatch.setattr("tidemark.operators.lake.BROADCAST_KEYS", 1)
+        keys = t._keys(batch, summary)
+        assert "SortMergeJoin" in plan(spark.range(9).join(keys, F.col("id") == F.col("order_id")))
+        t.create(rows(spark, data.order(1, "2025-01-14"), data.order(3, "2025-01-14")))
+        t.upsert(prepared(batch, "2025-08-01", "run"))
+    assert data.values(t.read(), "order_id", "day") == [(1, 15), (2, 15), (3, 14)]
+
+
 def test_hot_day_is_spread_over_files(spark, lake, monkeypatch):
     """A day with most of the rows is written by several tasks."""
-    monkeypatch.setattr("tidemark.operators.lake.TARGET_FILE_BYTES", 200_000)
+    monkeypatch.setattr("tidemark.operators.lake.SHUFFLED_BYTES_PER_FILE", 200_000)
     hot = spark.range(200_000).selectExpr(
         "CAST(id AS INT) AS order_id",
         "uuid() AS product_name",

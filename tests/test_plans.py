@@ -79,3 +79,18 @@ def test_upsert_shuffles_each_side_once(spark):
     with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
         text = plan(merge.upsert(orders, orders, "order_id"))
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_versions_of_a_key_are_reduced_before_the_shuffle(spark):
+    orders = tables.order_rows(spark, FOLDER)
+    text = plan(merge.latest_per_key(orders, "customer_id"))
+    assert text.index("functions=[max(") < text.index("Exchange") < text.index("partial_max(")
+
+
+def test_upsert_joins_one_row_per_key(spark):
+    """The anti join sees each source key once, however many versions it has."""
+    orders = tables.order_rows(spark, FOLDER)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        text = plan(merge.upsert(orders, orders, "order_id"))
+    right = text[text.index("LeftAnti") :].split("+- Sort")[1]
+    assert right.count("HashAggregate") == 2

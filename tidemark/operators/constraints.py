@@ -37,13 +37,15 @@ def references(
 ) -> DataFrame:
     """Rows that point to no parent row.
 
-    Rows are counted per value before the join, so a frequent value is one row.
+    Both sides are reduced to one row per value before the join, so a frequent
+    value does not weigh more than others.
     """
+    known = parent.select(F.col(parent_key).alias(column)).distinct()
     orphans = (
         df.where(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n"))
-        .join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
+        .join(known, column, "left_anti")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
     )
     return _named(orphans.withColumn("constraint_name", F.lit(f"{column} references")), table)

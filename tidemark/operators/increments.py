@@ -31,9 +31,12 @@ def after_mark(df: DataFrame, mark: Mark | None, key: str) -> DataFrame:
     if mark is None:
         return df
     last_key = F.lit(mark.key).cast(df.schema[key].dataType)
-    if mark.updated_at is None:
+    if "updated_at" not in df.columns:
         return df.where(F.col(key) > last_key)
-    stamp, last = F.col("updated_at"), ntz(mark.updated_at)
+    stamp = F.col("updated_at")
+    if mark.updated_at is None:
+        return df.where(stamp.isNotNull() | (F.col(key) > last_key))
+    last = ntz(mark.updated_at)
     return df.where((stamp >= last) & ((stamp > last) | (F.col(key) > last_key)))
 
 

@@ -17,18 +17,24 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
+from pyspark.sql.types import IntegralType, StructField
 
 from tidemark.functions.columns import PARTITION_COLUMNS, partition_key
 from tidemark.operators.increments import Summary, summarize
 from tidemark.operators.merge import latest_per_key, without_stale
 from tidemark.operators.ranking import latest_rows
 from tidemark.session import few_listing_tasks, session_conf, shared_dir
-from tidemark.sources.files import list_files, list_partition_files
+from tidemark.sources.files import list_partition_files
 
 # Size to which written files are laid out.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
+# Shuffled rows take at least twice their space in Parquet.
+SHUFFLED_BYTES_PER_FILE = 2 * TARGET_FILE_BYTES
+
+# Integer keys up to this number make a hash table of less than 100 MB.
+BROADCAST_KEYS = 2_000_000
+
 DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
@@ -141,25 +147,25 @@ class LakeTable:
     ) -> Summary:
         """Replace rows by key and insert new ones; create the table if missing.
 
-        Of a key that repeats in the batch the latest row counts; ``unique`` says
+        The rows must carry the partition columns. With ``only_newer``, rows older
+        than the table's are left out. Of a key that repeats in the batch the latest row counts; ``unique`` says
         that none does. Running the same batch again leaves the same rows.
         """
         if not self.exists():
             return Summary.empty() if batch.isEmpty() else self.create(batch, unique)
         self.finish_interrupted()
-        if only_newer:
-            batch = without_stale(batch, self.read(), self.key)
-        return self._merge_staged(batch, unique)
+        return self._merge_staged(batch, only_newer, unique)
 
     @_listing_tuned
-    def refresh(self, df: DataFrame) -> None:
+    def refresh(self, df: DataFrame, unique: bool = False) -> None:
         """Replace the whole content."""
         if not self.exists():
-            self.create(df)
+            self.create(df, unique)
             return
         self.finish_interrupted()
         self._add_columns(df)
-        self._replace(latest_per_key(df, self.key), _numbers(self.partitions().collect()))
+        rows = df if unique else latest_per_key(df, self.key)
+        self._replace(rows, _numbers(self.partitions().collect()))
 
     @_listing_tuned
     def compact(self, max_files: int = 10, target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -169,10 +175,9 @@ class LakeTable:
         Returns how many were.
         """
         sizes = (
-            list_partition_files(self.spark, self.location)
-            .groupBy(*PARTITION_COLUMNS)
+            self._files()
+            .groupBy("number")
             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-            .withColumn("number", partition_key())
             .collect()
         )
         if sum(s["files"] for s in sizes) <= max_files:
@@ -184,11 +189,11 @@ class LakeTable:
             self._replace(self.read().where(_in_partitions(numbers)), numbers)
         return len(crowded)
 
+    @_listing_tuned
     def write_manifest(self) -> str:
         """List the table's data files as text, replacing the list before."""
         folder = f"{self.lake.location}/symlink_format_manifest/{self.short_name}"
-        files = list_files(self.spark, self.location, "*.parquet")
-        files.select("path").write.mode("overwrite").text(folder)
+        self._files().select("path").write.mode("overwrite").text(folder)
         return folder
 
     def finish_interrupted(self) -> None:
@@ -202,17 +207,30 @@ class LakeTable:
         for run in runs["batch"]:
             self._drop_staged("batch", run)
 
+    def _files(self) -> DataFrame:
+        """The table's files; folders that are no partition of it do not count."""
+        files = list_partition_files(self.spark, self.location)
+        return files.withColumn("number", partition_key()).join(
+            self.partitions().select("number"), "number", "left_semi"
+        )
+
     # Steps of a merge
 
-    def _merge_staged(self, batch: DataFrame, unique: bool) -> Summary:
+    def _merge_staged(self, batch: DataFrame, only_newer: bool, unique: bool) -> Summary:
         """Merge a batch from a staged copy, so that its source is read once."""
-        names = [self._stage("batch", batch)]
+        names: list[str] = []
+
+        def staged(df: DataFrame) -> DataFrame:
+            names.append(self._stage("batch", df))
+            return self.spark.table(names[-1])
+
         try:
-            rows = self.spark.table(names[0])
+            rows = staged(batch)
             summary = summarize(rows, self.key, unique)
             if summary.repeated:
-                names.append(self._stage("batch", latest_per_key(rows, self.key)))
-                rows = self.spark.table(names[1])
+                rows = staged(latest_per_key(rows, self.key))
+            if summary.rows and only_newer:
+                rows = staged(without_stale(rows, self.read(), self.key))
             if summary.rows:
                 self._merge(rows, summary)
         finally:
@@ -222,10 +240,8 @@ class LakeTable:
 
     def _reduce_repeated(self) -> None:
         """Merge the latest row of every repeated key over all its rows."""
-        counts = self.read().groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
-        repeated = counts.where(F.col("n") > 1).select(self.key)
-        rows = self.read().join(repeated, self.key, "left_semi")
-        self._merge_staged(latest_per_key(rows, self.key), unique=True)
+        latest = latest_per_key(self.read(), self.key, repeated_only=True)
+        self._merge_staged(latest, only_newer=False, unique=True)
 
     def _merge(self, rows: DataFrame, summary: Summary) -> None:
         self._add_columns(rows)
@@ -239,7 +255,8 @@ class LakeTable:
             self._insert(rows.where(_in_partitions(grown)), overwrite=False)
         if held:
             inside = _in_partitions(held)
-            kept = self.read().where(inside).join(rows.select(self.key), self.key, "left_anti")
+            keys = self._keys(rows, summary)
+            kept = self.read().where(inside).join(keys, self.key, "left_anti")
             self._replace(
                 kept.unionByName(rows.where(inside), allowMissingColumns=True), held
             )
@@ -255,12 +272,22 @@ class LakeTable:
             self.read()
             .where(near)
             .select(self.key, partition_key().alias("number"))
-            .join(rows.select(self.key), self.key, "left_semi")
+            .join(self._keys(rows, summary), self.key, "left_semi")
             .select("number")
             .distinct()
         )
         return set(_numbers(found.collect()))
 
+    def _keys(self, rows: DataFrame, summary: Summary) -> DataFrame:
+        """The keys of a batch, broadcast if they are few and of fixed width.
+
+        That spares a shuffle of the table's rows. More keys are joined by shuffle,
+        unless Spark finds them small enough.
+        """
+        keys = rows.select(self.key)
+        fixed = isinstance(keys.schema[0].dataType, IntegralType)
+        return F.broadcast(keys) if fixed and summary.rows <= BROADCAST_KEYS else keys
+
     def _insert(self, rows: DataFrame, overwrite: bool) -> None:
         """Add rows; with ``overwrite`` the partitions they fall in are replaced."""
         with session_conf(self.spark, _layout_settings() | DYNAMIC_OVERWRITE):
@@ -349,7 +376,7 @@ def _layout_settings() -> dict[str, str]:
     """
     return {
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_FILE_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLED_BYTES_PER_FILE),
     }
 
 

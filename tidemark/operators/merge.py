@@ -10,31 +10,37 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ntz
 
 
-def latest_per_key(df: DataFrame, key: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, repeated_only: bool = False) -> DataFrame:
     """One row per key: the latest ``updated_at``, an update before an insert.
 
     All other columns break remaining ties, so a recomputed task picks the same
     row. The maximum is aggregated before the shuffle, so a key with very many
-    versions sends one row per input task.
+    versions sends one row per input task. ``repeated_only`` leaves out keys with
+    a single row.
     """
     order = [c for c in ("updated_at", "change_type") if c in df.columns]
     rest = [c for c in df.columns if c not in order and c != key]
-    if not order and not rest:
-        return df.distinct()
-    best = F.max(F.struct(*order, *rest)).alias("best")
-    return df.groupBy(key).agg(best).select(key, "best.*").select(*df.columns)
+    # The marker keeps the structure valid for a table of nothing but keys.
+    best = F.max(F.struct(*order, *rest, F.lit(1).alias("_marker"))).alias("best")
+    found = df.groupBy(key).agg(best, F.count(F.lit(1)).alias("_versions"))
+    if repeated_only:
+        found = found.where(F.col("_versions") > 1)
+    return found.select(key, "best.*").select(*df.columns)
 
 
 def without_stale(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Source rows that are not older than the target's row of the same key."""
+    """Source rows not older than the target's; keys must be unique in both.
+
+    Only the source's matches leave the first join, so a small source never makes
+    the target shuffle.
+    """
     held = target.select(key, F.col("updated_at").alias("held_at"))
     stale = (
-        source.select(key, "updated_at")
-        .join(held, key)
+        held.join(source.select(key, "updated_at"), key)
         .where(F.col("held_at") > F.col("updated_at"))
-        .select(key, "updated_at")
+        .select(key)
     )
-    return source.join(stale, [key, "updated_at"], "left_anti")
+    return source.join(stale, key, "left_anti")
 
 
 def upsert(
@@ -44,10 +50,11 @@ def upsert(
 
     Columns only one side has become NULL in the rows of the other.
     """
+    latest = latest_per_key(source, key)
     if only_newer:
-        source = without_stale(source, target, key)
-    kept = target.join(source.select(key), key, "left_anti")
-    return kept.unionByName(latest_per_key(source, key), allowMissingColumns=True)
+        latest = without_stale(latest, target, key)
+    kept = target.join(latest.select(key), key, "left_anti")
+    return kept.unionByName(latest, allowMissingColumns=True)
 
 
 def insert_ignore(target: DataFrame, source: DataFrame, unique: str, key: str) -> DataFrame:
@@ -62,7 +69,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, unique: str, key: str) -
         .agg(F.min(F.struct(key, *rest)).alias("first"))
         .select(unique, "first.*")
     )
-    fresh = first.join(target.select(unique), unique, "left_anti")
+    fresh = first.join(target.select(unique).distinct(), unique, "left_anti")
     unnamed = source.where(F.col(unique).isNull())
     return target.unionByName(fresh).unionByName(unnamed)
 
