@@ -17,3 +17,12 @@ def test_empty_table_is_read_by_one_task():
 
 def test_bounds_come_from_one_query():
     assert jdbc.bounds_query("t", "k") == "SELECT MIN(k) AS lo, MAX(k) AS hi FROM t"
+
+
+def test_zone_less_stamps_stay_zone_less_and_compile(spark):
+    """The watermark literal is quoted as the database expects it."""
+    assert jdbc.scan_options("jdbc:x", "t")["preferTimestampNTZ"] == "true"
+    jvm = spark._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get("jdbc:postgresql://host/db")
+    moment = jvm.java.time.LocalDateTime.parse("2025-01-01T10:11:12.123456")
+    assert dialect.compileValue(moment) == "'2025-01-01 10:11:12.123456'"

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import data
@@ -242,6 +243,46 @@ def test_many_keys_are_not_broadcast(spark, lake, monkeypatch):
     assert data.values(t.read(), "order_id", "day") == [(1, 15), (2, 15), (3, 14)]
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_any_batches_leave_the_latest_rows(spark, lake, seed):
+    """Random batches, some replayed, with compactions between: latest row per key, on disk too."""
+    draw, t, want, hour = random.Random(seed), table(lake), {}, 0
+    for number in range(5):
+        batch = []
+        for _ in range(draw.randint(1, 8)):
+            hour += draw.randint(0, 30)
+            stamp = f"2025-01-{1 + hour // 24:02d}T{hour % 24:02d}:{len(batch):02d}"
+            batch.append(data.order(draw.randint(1, 10), stamp, f"{draw.randint(1, 99)}.00"))
+        for row in batch:
+            want[row[0]] = row
+        for _ in range(draw.randint(1, 2)):
+            t.upsert(rows(spark, *batch))
+        if number % 2:
+            t.compact(max_files=1)
+    expected = sorted(
+        (
+            (r[0], Decimal(r[4]), *(int(x) for x in r[5][:10].split("-")))
+            for r in want.values()
+        ),
+        key=repr,
+    )
+    assert stored(t) == on_disk(t) == expected
+
+
+def test_first_load_of_a_log_with_one_frequent_key(spark, lake):
+    """A third of a change log is versions of one key; one row of it remains."""
+    log = spark.range(30_000).selectExpr(
+        "CAST(IF(id % 3 = 0, 0, id) AS INT) AS order_id",
+        "CAST(id AS STRING) AS product_name",
+        "TIMESTAMP_NTZ '2025-01-01' + make_dt_interval(0, 0, 0, id) AS updated_at",
+    )
+    t = table(lake)
+    summary = t.create(prepared(log.repartition(8), "2025-08-01", "run"))
+    assert summary.repeated and summary.rows == 30_000
+    assert t.count() == t.read().select("order_id").distinct().count() == 20_001
+    assert t.read().where("order_id = 0").first().product_name == "29997"
+
+
 def test_hot_day_is_spread_over_files(spark, lake, monkeypatch):
     """A day with most of the rows is written by several tasks."""
     monkeypatch.setattr("tidemark.operators.lake.SHUFFLED_BYTES_PER_FILE", 200_000)

@@ -24,6 +24,10 @@ def test_commands(spark, tmp_path, capsys):
         results = str(tmp_path / "results")
         assert main([*base, "report", "total_revenue", "--results", results]) == 0
         assert str(spark.read.parquet(f"{results}/total_revenue").first()[0]) == "17.00"
+        total = "SELECT SUM(quantity * price) AS total_revenue FROM command_line.orders"
+        assert str(spark.sql(total).first()[0]) == "17.00"
+        age = "current_timestamp() - etl_processed_at < INTERVAL 1 HOUR"
+        assert spark.table("command_line.orders").where(age).count() == 2
         assert main([*base, "check"]) == 0
     finally:
         Lake(spark, "command_line").drop()

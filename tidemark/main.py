@@ -58,8 +58,8 @@ def _source(spark: SparkSession, options: argparse.Namespace, table: str) -> Dat
 
 
 def _load(spark: SparkSession, lake: Lake, options: argparse.Namespace) -> int:
-    now = datetime.now(UTC).replace(tzinfo=None)
-    run_id = f"{options.job_name}_{int(now.replace(tzinfo=UTC).timestamp())}"
+    now = datetime.now(UTC)
+    run_id = f"{options.job_name}_{int(now.timestamp())}"
     sources = [
         (lake.table(t, key_of(t)), _source(spark, options, t)) for t in options.tables
     ]

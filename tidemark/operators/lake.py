@@ -290,7 +290,7 @@ class LakeTable:
 
     def _insert(self, rows: DataFrame, overwrite: bool) -> None:
         """Add rows; with ``overwrite`` the partitions they fall in are replaced."""
-        with session_conf(self.spark, _layout_settings() | DYNAMIC_OVERWRITE):
+        with session_conf(rows.sparkSession, _layout_settings() | DYNAMIC_OVERWRITE):
             self._in_table_order(_by_partition(rows)).write.insertInto(self.name, overwrite)
 
     def _replace(self, content: DataFrame, numbers: Iterable[int]) -> None:
@@ -350,7 +350,7 @@ class LakeTable:
     def _stage(self, kind: str, df: DataFrame, run: str | None = None) -> str:
         """Write a table that cuts lineage; it is registered once it is complete."""
         name = self._staged_name(kind, run or uuid.uuid4().hex)
-        with session_conf(self.spark, _layout_settings()):
+        with session_conf(df.sparkSession, _layout_settings()):
             df.write.format("parquet").saveAsTable(name)
         return name
 
@@ -364,8 +364,17 @@ class LakeTable:
 
 
 def _by_partition(df: DataFrame) -> DataFrame:
-    """Bring each partition's rows together; adaptive execution splits large ones."""
-    return df.hint("rebalance", *[F.col(c) for c in PARTITION_COLUMNS])
+    """Bring each partition's rows together; adaptive execution splits large ones.
+
+    With at least two shuffle partitions per core, few days share one, so that a
+    split does not cut several days into small files.
+    """
+    spark = df.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        2 * spark.sparkContext.defaultParallelism,
+    )
+    return df.hint("rebalance", tasks, *[F.col(c) for c in PARTITION_COLUMNS])
 
 
 def _layout_settings() -> dict[str, str]:

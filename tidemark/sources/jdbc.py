@@ -17,7 +17,13 @@ def scan_options(
     **connection: str,
 ) -> dict[str, str]:
     """Reader options: split by key range when the bounds are known, else one task."""
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_rows), **connection}
+    options = {
+        "url": url,
+        "dbtable": table,
+        "fetchsize": str(fetch_rows),
+        "preferTimestampNTZ": "true",
+        **connection,
+    }
     if key and bounds and None not in bounds:
         options |= {
             "partitionColumn": key,
