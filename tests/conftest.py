@@ -15,7 +15,7 @@ _numbers = itertools.count()
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", 8, "6g")
+    session = local_session("tests", 4, "6g")
     yield session
     session.stop()
 

@@ -49,6 +49,15 @@ def test_new_column_is_null_in_old_rows(spark):
     assert data.values(found, "order_id", "channel") == [(1, None), (2, "web")]
 
 
+def test_native_merge_is_left_to_the_format(spark, lake):
+    """Parquet has no MERGE; the statement resolves and is refused for that reason only."""
+    name = f"{lake.database}.plain"
+    data.orders(spark, data.order(1, "2025-01-01")).write.saveAsTable(name)
+    batch = data.orders(spark, data.order(1, "2025-01-02"))
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge.merge_into(batch, name, "order_id")
+
+
 def test_known_email_is_ignored_and_null_is_not_equal(spark):
     held = data.customers(spark, (1, "ann", "2025-01-01", "2025-01-01"))
     offered = data.customers(

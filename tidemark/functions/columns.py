@@ -34,6 +34,11 @@ def order_value() -> Column:
     return F.col("quantity") * F.col("price")
 
 
+def count_valued() -> Column:
+    """How many rows have an order value, without computing it."""
+    return F.count_if(F.col("quantity").isNotNull() & F.col("price").isNotNull())
+
+
 def exact_average(total: Column, n: Column) -> Column:
     """An average from an exact decimal sum; NULL when there is nothing to average."""
     return F.try_divide(total.cast("double"), n)

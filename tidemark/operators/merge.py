@@ -57,6 +57,22 @@ def upsert(
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+def merge_into(batch: DataFrame, table: str, key: str) -> None:
+    """Upsert into a catalog table whose format has a MERGE of its own, such as Delta."""
+    held = table.split(".")[-1]
+    match = F.expr(f"{held}.`{key}` = fresh.`{key}`")
+    (
+        latest_per_key(batch, key)
+        .alias("fresh")
+        .mergeInto(table, match)
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, unique: str, key: str) -> DataFrame:
     """Add source rows whose unique value is new; of several, the lowest key wins.
 

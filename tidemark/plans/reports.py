@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import change_status, exact_average, minus, order_value
+from tidemark.functions.columns import (
+    change_status,
+    count_valued,
+    exact_average,
+    minus,
+    order_value,
+)
 from tidemark.operators.increments import Moment
 from tidemark.operators.ranking import latest_rows
 
@@ -19,7 +25,7 @@ def _per_customer(orders: DataFrame) -> DataFrame:
     """Per customer: orders, priced lines, spending and order dates."""
     return orders.groupBy("customer_id").agg(
         F.count("order_id").alias("orders"),
-        F.count(order_value()).alias("valued"),
+        count_valued().alias("valued"),
         F.sum(order_value()).alias("spent"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
@@ -65,7 +71,7 @@ def monthly_sales_trend(orders: DataFrame) -> DataFrame:
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum(order_value()).alias("total_revenue"),
-            exact_average(F.sum(order_value()), F.count(order_value())).alias("avg_order_value"),
+            exact_average(F.sum(order_value()), count_valued()).alias("avg_order_value"),
             F.count_distinct("customer_id").alias("unique_customers"),
         )
         .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
@@ -132,7 +138,7 @@ def monthly_revenue(orders: DataFrame, year: int) -> DataFrame:
         .agg(
             F.sum(order_value()).alias("monthly_revenue"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            exact_average(F.sum(order_value()), F.count(order_value())).alias("avg_order_value"),
+            exact_average(F.sum(order_value()), count_valued()).alias("avg_order_value"),
         )
         .orderBy("year", "month")
     )
