@@ -87,6 +87,10 @@ class LakeTable:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.name)
 
+    def is_empty(self) -> bool:
+        """True before the first load, and after one that died before it was done."""
+        return not self.exists() or self.partitions().isEmpty()
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -130,11 +134,16 @@ class LakeTable:
         Unless the keys are known to be ``unique``, repeated ones are looked for
         in the written table and reduced to their latest row.
         """
-        columns = ", ".join(_column_ddl(f) for f in df.schema)
-        self.spark.sql(
-            f"CREATE TABLE {self.name} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})"
-        )
+        if not self.is_empty():
+            raise ValueError(f"{self.name} has rows already")
+        if self.exists():
+            self._add_columns(df)
+        else:
+            columns = ", ".join(_column_ddl(f) for f in df.schema)
+            self.spark.sql(
+                f"CREATE TABLE {self.name} ({columns}) USING parquet "
+                f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})"
+            )
         self._insert(df, overwrite=True)
         summary = summarize(self.read(), self.key, unique)
         if summary.repeated:
@@ -151,7 +160,7 @@ class LakeTable:
         than the table's are left out. Of a key that repeats in the batch the latest row counts; ``unique`` says
         that none does. Running the same batch again leaves the same rows.
         """
-        if not self.exists():
+        if self.is_empty():
             return Summary.empty() if batch.isEmpty() else self.create(batch, unique)
         self.finish_interrupted()
         return self._merge_staged(batch, only_newer, unique)
@@ -159,7 +168,7 @@ class LakeTable:
     @_listing_tuned
     def refresh(self, df: DataFrame, unique: bool = False) -> None:
         """Replace the whole content."""
-        if not self.exists():
+        if self.is_empty():
             self.create(df, unique)
             return
         self.finish_interrupted()
