@@ -22,6 +22,44 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
 FROM ranked WHERE nth = 1
 """
 
+OP7 = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place
+  FROM documents
+), named AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(rank - 1) % 3 + 1] AS weight, source_size * 2.0::DOUBLE AS most FROM named
+), levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+     - coalesce(sum(most) OVER (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+     / sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), settled AS (
+  SELECT *, max(CASE WHEN level < most / weight THEN level END) OVER () AS settled FROM levels
+), sources AS (
+  SELECT source, rank, source_size, coalesce(least(most, settled * weight), most) AS target FROM settled
+), queued AS (
+  SELECT doc_id, size, source_size, target, rank,
+         sum(size) OVER (PARTITION BY rank ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)::BIGINT AS position
+  FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source
+), numbered AS (
+  SELECT *, row_number() OVER () AS n FROM queued
+), turns AS (
+  SELECT n, size, rank, position + epoch * source_size AS place, (position + epoch * source_size)::DOUBLE / target AS finish
+  FROM numbered, (VALUES (0), (1)) epochs(epoch) WHERE size > 0 AND target > 0
+), served AS (
+  SELECT n, size, sum(size) OVER (ORDER BY finish, rank, place ROWS UNBOUNDED PRECEDING) AS total FROM turns
+), taken AS (
+  SELECT n, sum(size)::BIGINT AS taken FROM served WHERE total <= (SELECT sum(target) FROM sources) GROUP BY n
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM numbered LEFT JOIN taken USING (n)
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_mixing": OP7,
     "op9_url_filters": OP9,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.mixing import mix
 from tidemark.llm.url_rules import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,11 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).drop("source")
+
+
 QUERIES: dict[str, Query] = {
+    "op7_mixing": op7_mixing,
     "op9_url_filters": op9_url_filters,
 }
