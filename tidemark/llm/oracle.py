@@ -22,6 +22,27 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict
 FROM ranked WHERE nth = 1
 """
 
+OP6 = r"""
+WITH numbered AS (
+  SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS n FROM documents
+), lines AS (
+  SELECT doc_id, n, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS nth
+  FROM numbered
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key
+), judged AS (
+  SELECT keyed.doc_id, n, nth, line, coalesce(keyed.doc_id > first, false) AS dropped
+  FROM keyed LEFT JOIN firsts USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id, n
+"""
+
 OP7 = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -60,6 +81,7 @@ FROM numbered LEFT JOIN taken USING (n)
 """
 
 ORACLE: dict[str, str] = {
+    "op6_line_dedup": OP6,
     "op7_mixing": OP7,
     "op9_url_filters": OP9,
 }

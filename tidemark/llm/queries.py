@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
 from tidemark.llm.url_rules import judge_urls, rules_frame
 
@@ -26,11 +28,17 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source")
 
 
 QUERIES: dict[str, Query] = {
+    "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op9_url_filters": op9_url_filters,
 }
