@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_rules import judge_urls, rules_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,17 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity(docs, table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return identify_language(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -38,6 +51,8 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op9_url_filters": op9_url_filters,
