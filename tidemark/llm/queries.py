@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
@@ -30,6 +31,10 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, folder, "labels"))
@@ -51,6 +56,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op6_line_dedup": op6_line_dedup,
