@@ -12,6 +12,7 @@ from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_rules import judge_urls, rules_frame
 
@@ -27,6 +28,11 @@ URL_RULES = [
 ]
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), rules_frame(spark, URL_RULES))
 
@@ -61,5 +67,6 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filters": op9_url_filters,
 }
