@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
+from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
@@ -52,6 +53,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_language(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
+    "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_suffix_dedup": op8_suffix_dedup,
