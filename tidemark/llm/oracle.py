@@ -80,8 +80,25 @@ SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM numbered LEFT JOIN taken USING (n)
 """
 
+OP10 = r"""
+WITH usable AS (
+  SELECT vec_id, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), parts AS (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op7_mixing": OP7,
     "op9_url_filters": OP9,
+    "op10_exact_top_k": OP10,
 }

@@ -13,6 +13,7 @@ from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.pivot_search import top_k_products
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity
 from tidemark.llm.url_rules import judge_urls, rules_frame
@@ -66,6 +67,10 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).drop("source")
 
 
+def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k_products(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -75,4 +80,5 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filters": op9_url_filters,
+    "op10_exact_top_k": op10_exact_top_k,
 }
