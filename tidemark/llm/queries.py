@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontamination import find_leaks
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
@@ -58,6 +59,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages").select("page_id", "html"))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_html_text": op5_html_text,
     "op6_line_dedup": op6_line_dedup,
     "op7_mixing": op7_mixing,
     "op8_suffix_dedup": op8_suffix_dedup,
