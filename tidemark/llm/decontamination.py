@@ -1,9 +1,10 @@
 """Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
 
 The n-grams of the test items are looked up in all documents once to count in how
-many each occurs. Of every few neighbouring n-grams of an item the rarest becomes a
-seed, so each stretch of an item has one. A second reading joins documents to items
-by seeds; where seeds of an item lie close together, item and passage are aligned
+many each occurs. Those as rare as the n-grams around them become seeds; commonplace
+ones, in many times more documents than their neighbours, do not. Within a passage
+that leaked often all are equally frequent and stay seeds. A second reading joins
+documents to items by seeds; where seeds of an item lie close together, item and passage are aligned
 word by word. The score is the alignment's share of the item's score with itself,
 so edited and paraphrased copies score below 1 but far above chance.
 
@@ -34,10 +35,16 @@ _u = np.uint64
 
 @dataclass(frozen=True)
 class Seeds:
-    """n-grams of ``width`` words, one seed in ``spacing`` neighbours, and the least share to report."""
+    """n-grams of ``width`` words, what makes one commonplace, and the least share to report.
 
-    width: int = 4
-    spacing: int = 3
+    Commonplace is one in over ``common`` documents, and in over ``times`` as many as
+    the median of its ``near`` neighbours on either side.
+    """
+
+    width: int = 3
+    near: int = 4
+    times: int = 10
+    common: int = 20
     least: float = 0.5
 
 
@@ -135,7 +142,7 @@ def find_items(
     words, counts = word_hashes(texts)
     at = offsets(counts)
     text_of = np.repeat(np.arange(len(texts)), counts)
-    spots, owners = [], []
+    spots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     seed_grams = items.gram[seed]
     for width in items.widths():
         grams = chained(words, width)
@@ -170,22 +177,22 @@ def find_items(
         yield t, i, score, start, end
 
 
-def _choose_seeds(items: Items, frequency: np.ndarray, spacing: int) -> np.ndarray:
-    """Of each ``spacing`` neighbouring n-grams of an item the one in the fewest documents."""
-    chosen = set()
-    for i in range(len(items.words)):
+def choose_seeds(items: Items, frequency: np.ndarray, how: Seeds) -> np.ndarray:
+    """Indexes of the items' n-grams that are not commonplace, sorted by n-gram."""
+    seed = np.ones(len(items.gram), dtype=bool)
+    for i in np.unique(items.item[frequency > how.common]):
         own = np.flatnonzero(items.item == i)
-        for k in range(max(1, len(own) - spacing + 1)) if len(own) else []:
-            near = own[k : k + spacing]
-            chosen.add(int(near[frequency[near].argmin()]))
-    seed = np.array(sorted(chosen), dtype=np.int64)
-    return seed[np.argsort(items.gram[seed], kind="stable")]
+        for k in np.flatnonzero(frequency[own] > how.common):
+            around = frequency[own[max(0, k - how.near) : k + how.near + 1]]
+            seed[own[k]] = frequency[own[k]] <= how.times * max(1.0, float(np.median(around)))
+    seeds = np.flatnonzero(seed)
+    return seeds[np.argsort(items.gram[seeds], kind="stable")]
 
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, how: Seeds = Seeds(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per document and test item found in it: doc_id, item_id, score, first_word, end_word.
+    """One row per document and test item found in it: doc_id, item_id, score, first_word, end_word, text_hash.
 
     ``benchmark`` has item_id and text. Words are runs of letters and digits,
     lower-cased; the score is the best local alignment's, as a share of the item's
@@ -197,7 +204,7 @@ def find_leaks(
     there are no rows. Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).alias("id"), plain_words(F.col(text_col)).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), plain_words(F.col(text_col)).alias("text"))
     tests = benchmark.select("item_id", plain_words(F.col("text")).alias("text"))
     chars = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = int(chars // BLOCK_CHARS) + 1
@@ -211,7 +218,7 @@ def find_leaks(
         items = Items([i for i, _ in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], how.width)
         part = _leaks_of(texts, spark.sparkContext.broadcast(items), items, how)
         result = part if result is None else result.union(part)
-    return result.select(F.col("id").alias(id_col), "item_id", "score", "first_word", "end_word")
+    return result.select(F.col("id").alias(id_col), "item_id", "score", "first_word", "end_word", "text_hash")
 
 
 def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
@@ -236,7 +243,7 @@ def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
     frequency = np.zeros(len(distinct), dtype=np.int64)
     for row in counted:
         frequency[row["gram"]] = row["n"]
-    chosen = _choose_seeds(items, frequency[where], how.spacing)
+    chosen = choose_seeds(items, frequency[where], how)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -250,8 +257,8 @@ def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
                     yield pd.DataFrame(
                         {
                             "id": part["id"].array.take(list(row)), "item_id": pd.array([known.ids[i] for i in item], dtype="Int64"),
-                            "score": score, "first_word": first, "end_word": end,
+                            "score": score, "first_word": first, "end_word": end, "text_hash": part["text_hash"].to_numpy()[list(row)],
                         }
                     )
 
-    return texts.mapInPandas(search, "id long, item_id long, score double, first_word long, end_word long")
+    return texts.mapInPandas(search, "id long, item_id long, score double, first_word long, end_word long, text_hash long")

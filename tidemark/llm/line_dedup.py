@@ -53,7 +53,8 @@ class LineRuns:
 
         A null or empty text is one empty line. A null id counts as one document
         after all others. Rows that repeat an id are one document: a line is not
-        dropped for another row of its own document. Columns of the batch are kept.
+        dropped for another row of its own document. Columns of the batch are kept, but
+        the three new ones replace columns of their names.
         """
         lines = self._lines(docs, id_col, text_col)
         # One row per key and batch: its first document here, and whether there is another.
@@ -74,19 +75,19 @@ class LineRuns:
             lines.join(shared, HASH)
             .where("id > first")
             .groupBy("id", "text_hash")
-            .agg(F.collect_set("at").alias("dropped"))
-            .select(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"), "dropped")
+            .agg(F.collect_set("at").alias("__dropped"))
+            .select(F.col("id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash"), "__dropped")
         )
         all_lines = lines_of(F.col(text_col))
-        at = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.coalesce("dropped", F.array().cast("array<int>")))
+        at = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.coalesce("__dropped", F.array().cast("array<int>")))
         kept = F.transform(at, lambda i: F.get(all_lines, i))
         return (
-            docs.join(drops, (_id(id_col) == F.col("drop_id")) & (F.xxhash64(F.col(text_col)) == F.col("drop_hash")), "left")
+            docs.join(drops, (_id(id_col) == F.col("__drop_id")) & (F.xxhash64(F.col(text_col)) == F.col("__drop_hash")), "left")
             .select(
-                *[F.col(c) for c in docs.columns],
+                *[F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")],
                 F.size(all_lines).cast("long").alias("n_lines"),
-                F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-                F.when(F.col("dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+                F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+                F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
             )
         )
 

@@ -76,7 +76,7 @@ def mix(
     epochs: int = 2,
     seed: str = "mix",
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, and taken words.
+    """One row per document: id, source, size, source_size, target, taken words, and text_hash.
 
     ``taken`` is the size times the epochs in which the document is taken, 0 to
     ``epochs``. The order depends on the seed and the ids only, so reruns agree.
@@ -90,7 +90,7 @@ def mix(
     sized = stored(
         docs.select(
             F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-            word_count(F.col(text_col)).alias("size"), place.alias("place"),
+            word_count(F.col(text_col)).alias("size"), place.alias("place"), F.xxhash64(F.col(text_col)).alias("text_hash"),
         ),
         "mix-sizes",
     )
@@ -103,11 +103,11 @@ def mix(
         small(sources), F.col("from").eqNullSafe(F.col("source"))
     ).drop("from").withColumn("slice", F.substring("place", 1, 3))
     starts = _before(queued.groupBy("rank", "slice").agg(F.sum("size").alias("words")), "slice", "rank")
-    order = Window.partitionBy("rank", "slice").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("rank", "slice").orderBy("place", "id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, 0)
     placed = stored(
         queued.join(starts.select("rank", "slice", "before"), ["rank", "slice"]).withColumn(
             "position", F.col("before") + F.sum("size").over(order)
-        ).select("id", "source", "size", "source_size", "target", "rank", "position"),
+        ).select("id", "source", "size", "source_size", "target", "rank", "position", "text_hash"),
         "mix-queues",
     )
 
@@ -141,5 +141,5 @@ def mix(
         )
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * times).otherwise(F.lit(0)).cast("long")
     return placed.select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", taken.alias("taken")
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", taken.alias("taken"), "text_hash"
     )

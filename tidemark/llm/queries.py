@@ -41,7 +41,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents")).drop("text_hash")
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +56,7 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
 
 
 def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mix(table(spark, folder, "documents")).drop("source")
+    return mix(table(spark, folder, "documents")).drop("source", "text_hash")
 
 
 def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
