@@ -1,4 +1,5 @@
 import data
+from pyspark.sql import functions as F
 from tidemark.operators import increments
 from tidemark.operators.increments import Mark
 from tidemark.operators.ranking import latest_rows, sample_rows
@@ -46,7 +47,7 @@ def test_rows_that_get_their_first_stamp_are_read(spark):
     sold = data.orders(spark, data.order(1, "2025-01-01"), data.order(2, "2025-01-01"))
     bare = sold.selectExpr("order_id", "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at")
     mark = increments.high_mark(bare, "order_id")
-    assert mark == Mark(None, 2)
+    assert mark == Mark(None, 2, 2)
     later = bare.where("order_id = 2").unionByName(sold.where("order_id = 1").select(*bare.columns))
     assert ids(increments.after_mark(later, mark, "order_id")) == [1]
 
@@ -91,3 +92,22 @@ def test_sample_repeats_for_a_seed(spark):
     again = [r.id for r in sample_rows(df.repartition(7), "id", 5, seed=1).collect()]
     other = [r.id for r in sample_rows(df, "id", 5, seed=2).collect()]
     assert first == again != other and len(set(first)) == 5
+
+
+def test_rows_without_a_stamp_are_read_once(spark):
+    sold = data.orders(spark, data.order(1, "2025-01-01"), data.order(2, "2025-01-02"))
+    stamp = F.when(F.col("order_id") != 1, F.col("updated_at"))
+    mixed = sold.withColumn("updated_at", stamp)
+    mark = increments.high_mark(mixed, "order_id")
+    assert mark == Mark("2025-01-02 00:00:00", 2, 1)
+    more = mixed.union(data.orders(spark, data.order(3, "2025-01-01")).withColumn("updated_at", F.lit(None).cast("timestamp_ntz")))
+    assert ids(increments.after_mark(more, mark, "order_id")) == [3]
+    stored = Mark(mark.updated_at, "2", "1")
+    assert increments.high_mark(more.where("order_id = 3"), "order_id").after(stored) == Mark("2025-01-02 00:00:00", "2", 3)
+
+
+def test_lookback_reads_late_commits(spark):
+    sold = data.orders(spark, *[data.order(i, f"2025-01-0{i}") for i in (1, 2, 3)])
+    mark = Mark("2025-01-03 00:00:00", "3")
+    assert ids(increments.after_mark(sold, mark, "order_id")) == []
+    assert ids(increments.after_mark(sold, mark, "order_id", "1 days")) == [2, 3]

@@ -208,7 +208,7 @@ def test_interrupted_swap_is_finished_by_the_next_run(spark, lake, monkeypatch):
     with pytest.raises(RuntimeError):
         t.upsert(batch)
     monkeypatch.setattr(LakeTable, "_publish", publish)
-    assert len(staged(lake)) == 2
+    assert len(staged(lake)) == 4  # rows, plan, batch and the sign to merge it again
     t.finish_interrupted()
     once = stored(t)
     assert (11, Decimal("1.00"), 2025, 1, 12) in once and len(once) == 4
@@ -216,6 +216,23 @@ def test_interrupted_swap_is_finished_by_the_next_run(spark, lake, monkeypatch):
     assert stored(t) == on_disk(t) == once and staged(lake) == []
 
 
+def test_a_merge_that_died_half_way_leaves_no_key_twice(spark, lake, monkeypatch):
+    t = table(lake)
+    t.create(rows(spark, data.order(1, "2025-01-11"), data.order(2, "2025-01-12")))
+    publish = LakeTable._publish
+
+    def die(self, run):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(LakeTable, "_publish", die)
+    with pytest.raises(RuntimeError):  # key 1 moves to February
+        t.upsert(rows(spark, data.order(1, "2025-02-01", "1.00"), data.order(3, "2025-01-12")))
+    monkeypatch.setattr(LakeTable, "_publish", publish)
+    t.upsert(rows(spark, data.order(9, "2025-03-01")))
+    assert data.values(t.read(), "order_id", "month", "day") == [(1, 2, 1), (2, 1, 12), (3, 1, 12), (9, 3, 1)]
+    assert stored(t) == on_disk(t) and staged(lake) == []
+
+
 def test_failed_staging_leaves_the_table_alone(spark, lake):
     t = table(lake)
     t.create(rows(spark, data.order(1, "2025-01-15")))

@@ -16,28 +16,60 @@ Moment = str | date | datetime
 
 @dataclass(frozen=True)
 class Mark:
-    """The last row read from a source: its ``updated_at`` (if any) and its key."""
+    """The last row read from a source: its ``updated_at`` (if any) and its key.
+
+    ``unstamped_key`` is the highest key read so far among rows without a stamp, which
+    have no place in the order of stamps.
+    """
 
     updated_at: str | None
     key: Any
-
-
-def after_mark(df: DataFrame, mark: Mark | None, key: str) -> DataFrame:
+    unstamped_key: Any = None
+
+    def after(self, earlier: Mark | None) -> Mark:
+        """This mark, but never behind the one before it."""
+        if earlier is None:
+            return self
+        held = earlier.unstamped_key
+        known = [k for k in (held, self.unstamped_key) if k is not None]
+        # A stored key comes back as text; it takes the type of the new one.
+        kind = type(self.unstamped_key if self.unstamped_key is not None else held)
+        unstamped = max(map(kind, known)) if known else None
+        same = type(self.key)
+        here = (self.updated_at or "", self.key)
+        there = (earlier.updated_at or "", same(earlier.key))
+        later = self if here >= there else earlier
+        return Mark(later.updated_at, later.key, unstamped)
+
+
+def after_mark(
+    df: DataFrame, mark: Mark | None, key: str, lookback: str | None = None
+) -> DataFrame:
     """Rows past the mark in ``(updated_at, key)`` order; all rows without a mark.
 
+    Rows without a stamp are read once, in the order of their keys. With a
+    ``lookback`` such as ``2 hours``, stamped rows from so long before the mark are
+    read again, for those that were committed late.
+
     The leading bound on ``updated_at`` is implied by the rest. It is stated on
     its own because row-group statistics and database indexes can use it.
     """
     if mark is None:
         return df
-    last_key = F.lit(mark.key).cast(df.schema[key].dataType)
+    kind = df.schema[key].dataType
+    last_key = F.lit(mark.key).cast(kind)
     if "updated_at" not in df.columns:
         return df.where(F.col(key) > last_key)
     stamp = F.col("updated_at")
+    unstamped = stamp.isNull()
+    if mark.unstamped_key is not None:
+        unstamped = unstamped & (F.col(key) > F.lit(mark.unstamped_key).cast(kind))
     if mark.updated_at is None:
-        return df.where(stamp.isNotNull() | (F.col(key) > last_key))
+        return df.where(stamp.isNotNull() | unstamped)
     last = ntz(mark.updated_at)
-    return df.where((stamp >= last) & ((stamp > last) | (F.col(key) > last_key)))
+    if lookback is not None:
+        return df.where((stamp >= minus(mark.updated_at, lookback)) | unstamped)
+    return df.where(((stamp >= last) & ((stamp > last) | (F.col(key) > last_key))) | unstamped)
 
 
 @dataclass(frozen=True)
@@ -63,9 +95,12 @@ def summarize(df: DataFrame, key: str, unique: bool = False) -> Summary:
     """
     stamped = "updated_at" in df.columns
     stamp = F.col("updated_at") if stamped else F.lit(None)
-    keyed = df.select(key, stamp.alias("at"), F.lit(1).cast("bigint").alias("n"))
+    bare = F.when(F.lit(stamped) & stamp.isNull(), F.col(key))
+    keyed = df.select(key, stamp.alias("at"), bare.alias("bare"), F.lit(1).cast("bigint").alias("n"))
     if not unique:
-        keyed = keyed.groupBy(key).agg(F.max("at").alias("at"), F.sum("n").alias("n"))
+        keyed = keyed.groupBy(key).agg(
+            F.max("at").alias("at"), F.max("bare").alias("bare"), F.sum("n").alias("n")
+        )
     row = (
         keyed.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
@@ -73,13 +108,14 @@ def summarize(df: DataFrame, key: str, unique: bool = False) -> Summary:
             F.min(key).alias("low"),
             F.max(key).alias("high"),
             F.max(F.struct("at", key)).alias("last"),
+            F.max("bare").alias("bare"),
         )
         .withColumns({"at": F.col("last.at").cast("string"), "at_key": F.col(f"last.`{key}`")})
         .first()
     )
     if not row["rows"]:
         return Summary.empty()
-    mark = Mark(row["at"], row["at_key"])
+    mark = Mark(row["at"], row["at_key"], row["bare"])
     return Summary(row["rows"], row["low"], row["high"], mark, row["rows"] > row["keys"])
 
 

@@ -4,9 +4,9 @@ Plain Parquet has no MERGE, so a batch is applied per partition, in steps that
 can all be repeated. New partitions are written, rows for partitions without a
 match are appended, and partitions that hold matches are computed anew into a
 staging table in the shared folder, then swapped in by a dynamic partition
-overwrite. A run that dies during the swap is finished by the next one from the
-staging tables. There must be one writer per table; readers may see a swap half
-done.
+overwrite. The batch itself stays registered until all is done: a run that dies is
+finished by the next one, which completes its swap and merges its batch once more.
+There must be one writer per table; readers may see a swap half done.
 """
 
 from __future__ import annotations
@@ -206,13 +206,22 @@ class LakeTable:
         return folder
 
     def finish_interrupted(self) -> None:
-        """Complete the swap of a run that died, and drop what else it staged."""
-        runs = {kind: self._staged(kind) for kind in ("plan", "rows", "batch")}
+        """Complete the merge of a run that died, and drop what else it staged.
+
+        Its swap is done first, if it was ready. Merging its batch again finds the rows
+        that it had already added by their keys, so none is there twice.
+        """
+        runs = {kind: self._staged(kind) for kind in ("plan", "rows", "merge", "batch")}
         for run in runs["plan"]:
             self._publish(run)
         for run in runs["rows"]:
             if run not in runs["plan"]:
                 self._drop_staged("rows", run)
+        for run in runs["merge"]:
+            if run in runs["batch"]:
+                rows = self.spark.table(self._staged_name("batch", run))
+                self._merge(rows, summarize(rows, self.key, unique=True))
+            self._drop_staged("merge", run)
         for run in runs["batch"]:
             self._drop_staged("batch", run)
 
@@ -227,24 +236,26 @@ class LakeTable:
 
     def _merge_staged(self, batch: DataFrame, only_newer: bool, unique: bool) -> Summary:
         """Merge a batch from a staged copy, so that its source is read once."""
-        names: list[str] = []
+        runs: list[str] = []
 
         def staged(df: DataFrame) -> DataFrame:
-            names.append(self._stage("batch", df))
-            return self.spark.table(names[-1])
-
-        try:
-            rows = staged(batch)
-            summary = summarize(rows, self.key, unique)
-            if summary.repeated:
-                rows = staged(latest_per_key(rows, self.key))
-            if summary.rows and only_newer:
-                rows = staged(without_stale(rows, self.read(), self.key))
-            if summary.rows:
-                self._merge(rows, summary)
-        finally:
-            for name in names:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            runs.append(uuid.uuid4().hex)
+            return self.spark.table(self._stage("batch", df, runs[-1]))
+
+        rows = staged(batch)
+        summary = summarize(rows, self.key, unique)
+        if summary.repeated:
+            rows = staged(latest_per_key(rows, self.key))
+        if summary.rows and only_newer:
+            near = F.col(self.key).between(summary.low_key, summary.high_key)
+            rows = staged(without_stale(rows, self.read().where(near), self.key))
+        if summary.rows:
+            # From here on a run that dies is merged again by the next one.
+            self._stage("merge", self.spark.createDataFrame([(summary.rows,)], "rows BIGINT"), runs[-1])
+            self._merge(rows, summary)
+            self._drop_staged("merge", runs[-1])
+        for run in runs:
+            self._drop_staged("batch", run)
         return summary
 
     def _reduce_repeated(self) -> None:
@@ -257,18 +268,20 @@ class LakeTable:
         target = set(_numbers(rows.select(partition_key().alias("number")).distinct().collect()))
         known = set(_numbers(self.partitions().collect()))
         held = self._partitions_holding(rows, summary)
+        # The dearest step comes first: nothing has changed if it fails.
+        run = None
+        if held:
+            inside = _in_partitions(held)
+            kept = self.read().where(inside).join(self._keys(rows, summary), self.key, "left_anti")
+            content = kept.unionByName(rows.where(inside), allowMissingColumns=True)
+            run = self._stage_replacement(content, held)
         # Overwriting new partitions clears what a run that died may have left there.
         if new := target - known:
             self._insert(rows.where(_in_partitions(new)), overwrite=True)
         if grown := (target & known) - held:
             self._insert(rows.where(_in_partitions(grown)), overwrite=False)
-        if held:
-            inside = _in_partitions(held)
-            keys = self._keys(rows, summary)
-            kept = self.read().where(inside).join(keys, self.key, "left_anti")
-            self._replace(
-                kept.unionByName(rows.where(inside), allowMissingColumns=True), held
-            )
+        if run:
+            self._publish(run)
 
     def _partitions_holding(self, rows: DataFrame, summary: Summary) -> set[int]:
         """Numbers of the partitions with a row that the batch replaces.
@@ -304,6 +317,10 @@ class LakeTable:
 
     def _replace(self, content: DataFrame, numbers: Iterable[int]) -> None:
         """Make ``content`` the only rows of the numbered partitions."""
+        self._publish(self._stage_replacement(content, numbers))
+
+    def _stage_replacement(self, content: DataFrame, numbers: Iterable[int]) -> str:
+        """Stage the new rows of the numbered partitions; the swap is ready then."""
         run = uuid.uuid4().hex
         ordered = _by_partition(content).sortWithinPartitions(*PARTITION_COLUMNS)
         staged = self.spark.table(self._stage("rows", ordered, run))
@@ -311,7 +328,7 @@ class LakeTable:
         emptied = [(n,) for n in numbers if n not in filled]
         # The plan is registered last: if it is there, the staged rows are whole.
         self._stage("plan", self.spark.createDataFrame(emptied, "number INT"), run)
-        self._publish(run)
+        return run
 
     def _publish(self, run: str) -> None:
         rows = self._in_table_order(self.spark.table(self._staged_name("rows", run)))

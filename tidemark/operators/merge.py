@@ -85,7 +85,10 @@ def insert_ignore(target: DataFrame, source: DataFrame, unique: str, key: str) -
         .agg(F.min(F.struct(key, *rest)).alias("first"))
         .select(unique, "first.*")
     )
-    fresh = first.join(target.select(unique).distinct(), unique, "left_anti")
+    # Only the target's rows of offered values reach the anti join, so a small source
+    # never makes the target shuffle.
+    taken = target.select(unique).join(named.select(unique), unique, "left_semi").distinct()
+    fresh = first.join(taken, unique, "left_anti")
     unnamed = source.where(F.col(unique).isNull())
     return target.unionByName(fresh).unionByName(unnamed)
 

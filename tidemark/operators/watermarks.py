@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.increments import Mark
 from tidemark.operators.lake import Lake
 
-SCHEMA = "table_name STRING, version BIGINT, updated_at STRING, last_key STRING, run_id STRING"
+SCHEMA = (
+    "table_name STRING, version BIGINT, updated_at STRING, last_key STRING, run_id STRING, "
+    "unstamped_key STRING"
+)
 PREFIX = "etl_metadata_"
 
 
@@ -29,10 +32,11 @@ class Watermarks:
         row = self._last(table)
         if row is None or row["last_key"] is None:
             return None
-        return Mark(row["updated_at"], row["last_key"])
+        return Mark(row["updated_at"], row["last_key"], row["unstamped_key"])
 
     def commit(self, table: str, mark: Mark, run_id: str) -> None:
-        self._append(table, mark.updated_at, str(mark.key), run_id)
+        unstamped = None if mark.unstamped_key is None else str(mark.unstamped_key)
+        self._append(table, mark.updated_at, str(mark.key), run_id, unstamped)
 
     def reset(self, table: str, run_id: str = "reset") -> None:
         """Forget the table's mark, so that the next run reads everything."""
@@ -48,7 +52,7 @@ class Watermarks:
         logs = [self.spark.table(self._name(t)) for t in self._tables()]
         if not logs:
             return self.spark.createDataFrame([], SCHEMA)
-        rest = F.struct("version", "updated_at", "last_key", "run_id")
+        rest = F.struct("version", "updated_at", "last_key", "run_id", "unstamped_key")
         return (
             reduce(DataFrame.unionByName, logs)
             .groupBy("table_name")
@@ -69,8 +73,12 @@ class Watermarks:
             return None
         return self.spark.table(self._name(table)).orderBy(F.desc("version")).first()
 
-    def _append(self, table: str, updated_at: str | None, key: str | None, run_id: str) -> None:
+    def _append(
+        self, table: str, updated_at: str | None, key: str | None, run_id: str, unstamped: str | None = None
+    ) -> None:
         last = self._last(table)
         version = last["version"] + 1 if last else 1
-        row = self.spark.createDataFrame([(table, version, updated_at, key, run_id)], SCHEMA)
+        row = self.spark.createDataFrame(
+            [(table, version, updated_at, key, run_id, unstamped)], SCHEMA
+        )
         row.coalesce(1).write.mode("append").format("parquet").saveAsTable(self._name(table))

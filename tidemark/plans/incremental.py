@@ -44,25 +44,30 @@ def load_increment(
     max_files: int = 10,
     unique: bool = False,
     verify: bool = True,
+    lookback: str | None = None,
 ) -> Run:
     """Bring new and updated source rows into the table.
 
     A source with an enforced primary key is ``unique``, which saves a check.
     ``verify`` counts the table afterwards, which opens each of its files.
+    ``lookback``, such as ``2 hours``, reads again what is stamped so long before the
+    mark, for rows committed late; the merge leaves what it knows as it is.
 
     The mark moves last, and only to what the written batch holds. A run that
     fails before is repeated from the old mark, with the same result.
     """
     marks = Watermarks(table.lake)
-    batch = after_mark(source, marks.current(table.short_name), table.key)
+    before = marks.current(table.short_name)
+    batch = after_mark(source, before, table.key, lookback)
     done = table.upsert(prepared(batch, as_of, run_id), unique=unique)
     if not done.rows:
         return Run(table.short_name, 0)
     final_count, latest = table.count() if verify else None, table.latest()
     table.compact(max_files)
     manifest = table.write_manifest()
-    marks.commit(table.short_name, done.mark, run_id)
-    return Run(table.short_name, done.rows, done.mark, final_count, latest, manifest)
+    mark = done.mark.after(before)
+    marks.commit(table.short_name, mark, run_id)
+    return Run(table.short_name, done.rows, mark, final_count, latest, manifest)
 
 
 @dataclass(frozen=True)

@@ -111,7 +111,8 @@ SELECT {CUSTOMER_COLUMNS} FROM customers WHERE {OLD_CUSTOMERS} AND NOT ({CHANGED
 """
 
 
-def _profile() -> str:
+def _profile(stored: bool = False) -> str:
+    """Columns and counts of the tables; ``stored`` ones carry audit and date columns."""
     columns = {
         "customers": [
             ("customer_id", "bigint"),
@@ -131,6 +132,10 @@ def _profile() -> str:
             ("updated_at", "timestamp_ntz"),
         ],
     }
+    if stored:
+        audit = [("etl_processed_at", "timestamp"), ("etl_job_run_id", "string")]
+        dates = [(part, "int") for part in ("year", "month", "day")]
+        columns = {view: found + audit + dates for view, found in columns.items()}
     rows = [
         f"SELECT '{view.replace('order_rows', 'orders')}' AS table_name, TRUE AS found, "
         f"{i} AS position, '{name}' AS column_name, '{kind}' AS data_type, "
@@ -138,7 +143,8 @@ def _profile() -> str:
         for view, found in columns.items()
         for i, (name, kind) in enumerate(found, start=1)
     ]
-    rows.append("SELECT 'returns', FALSE, NULL, NULL, NULL, NULL")
+    if not stored:
+        rows.append("SELECT 'returns', FALSE, NULL, NULL, NULL, NULL")
     return " UNION ALL ".join(rows)
 
 
@@ -284,7 +290,8 @@ ORACLE: dict[str, str] = {
     "upsert_customers": _with(UPSERTED_CUSTOMERS),
     "upsert_change_feed": _with(
         f"""SELECT {CUSTOMER_COLUMNS}, CAST(NULL AS VARCHAR) AS change_type FROM customers
-        WHERE {OLD_CUSTOMERS} AND customer_id NOT IN (SELECT customer_id FROM feed)
+        WHERE created_at <= TIMESTAMP '1995-07-01'
+            AND customer_id NOT IN (SELECT customer_id FROM feed)
         UNION ALL
         SELECT {CUSTOMER_COLUMNS}, change_type FROM (
             SELECT *, row_number() OVER (PARTITION BY customer_id
@@ -330,7 +337,7 @@ ORACLE: dict[str, str] = {
     "lake_initial_write": _with(_orders(_parts())),
     "lake_upsert": _with(f"SELECT *{_parts()} FROM ({UPSERTED_CUSTOMERS})"),
     "lake_full_refresh": _with(
-        f"SELECT {RENAMED}, updated_at{_parts()} FROM customers WHERE {CHANGED_CUSTOMERS}"
+        f"SELECT {RENAMED}, updated_at{_parts()} FROM customers"
     ),
     "lake_compact": _with(f"SELECT *{_parts()} FROM customers"),
     "lake_latest": _with(
@@ -343,6 +350,31 @@ ORACLE: dict[str, str] = {
             updated_at=MOVED,
         )
     ),
+    "incremental_empty": _with(f"SELECT *{_parts()}, 0::BIGINT AS read_again FROM customers"),
+    "incremental_after_reset": _with(
+        f"SELECT *{_parts()}, (SELECT COUNT(*) FROM customers) AS read_again FROM customers"
+    ),
+    "lake_manifest": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
+    "lake_partitions": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
+    "lake_inventory": _with(
+        """SELECT folder, COUNT(*) > 0 AS has_files
+        FROM customers, (VALUES ('customers'), ('symlink_format_manifest')) folders(folder)
+        GROUP BY folder"""
+    ),
+    "load_all_profile": _with(_profile(stored=True)),
+    "saved_report": _with(
+        f"""SELECT product_name, order_count, total_quantity AS total_quantity_sold,
+               total_revenue, avg_price
+        FROM ({PRODUCT_TOTALS}) ORDER BY total_revenue DESC NULLS LAST, product_name LIMIT 20"""
+    ),
+    "inc_unstamped": _with(
+        _orders(updated_at="CASE WHEN order_id % 3 <> 0 THEN updated_at END")
+    ),
+    "top_per_group": _with(
+        _orders(source="ranked", where="place <= 3"),
+        ranked="""SELECT *, row_number() OVER (
+            PARTITION BY customer_id ORDER BY price DESC, order_id) AS place FROM order_rows""",
+    ),
     "schema_merge": _with(
         f"""SELECT customer_id, name, email, created_at, updated_at,
                CASE WHEN NOT ({OLD_CUSTOMERS}) THEN customer_segment END AS customer_segment

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from tidemark.functions.audit import AUDIT_COLUMNS, prepared, with_audit, with_date_parts
-from tidemark.functions.columns import ntz, scaled_price, shifted_quantity, updated_name
+from tidemark.functions.columns import PARTITION_COLUMNS, ntz, scaled_price, shifted_quantity, updated_name
 from tidemark.operators import catalog, constraints, increments, merge, ranking
 from tidemark.operators.increments import Mark
 from tidemark.operators.lake import Lake, LakeTable
+from tidemark.operators.results import save_result
+from tidemark.operators.watermarks import Watermarks
 from tidemark.plans import reports
-from tidemark.plans.incremental import load_increment
+from tidemark.plans.incremental import load_all, load_increment
 from tidemark.session import shared_dir
-from tidemark.sources import tables
+from tidemark.sources import files, tables
 
 # Fixed moments within the test data.
 ORDERS_AS_OF = "2001-08-02 00:00:00"
@@ -112,7 +114,9 @@ def upsert_change_feed(spark: SparkSession, folder: str) -> DataFrame:
     """A feed holds several versions of a key; the latest one is merged."""
     customers = tables.customers(spark, folder)
     feed = _change_feed(customers)
-    return merge.upsert(_customers_before(customers), feed, "customer_id")
+    # The feed begins after the cut, so the table holds what was created up to it.
+    before = customers.where(F.col("created_at") <= ntz(CUSTOMERS_CUT))
+    return merge.upsert(before, feed, "customer_id")
 
 
 def upsert_only_newer(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,8 +186,11 @@ def _check_constraints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _monthly_revenue(sales: DataFrame) -> DataFrame:
-    return reports.monthly_revenue(with_date_parts(sales), 1998)
+def monthly_revenue_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    """One year of the stored sales; only its partitions are read."""
+    table = _fresh_lake(spark, "revenue").table("sales", "order_id")
+    table.create(prepared(tables.sales(spark, folder), ORDERS_AS_OF, RUN_ID), unique=True)
+    return _doubles(reports.monthly_revenue(table.read(), 1998))
 
 
 # Lake tables
@@ -219,7 +226,8 @@ def lake_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def lake_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     customers = tables.customers(spark, folder)
     table = _fresh_lake(spark, "full_refresh").table("customers", "customer_id")
-    for content in (_customers_before(customers), _customer_changes(customers)):
+    renamed = customers.withColumn("name", updated_name())
+    for content in (_customers_before(customers), renamed):
         table.refresh(prepared(content, CUSTOMERS_AS_OF, RUN_ID))
     return _stored(table)
 
@@ -250,6 +258,90 @@ def incremental_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(table)
 
 
+def _customers_table(spark: SparkSession, folder: str, name: str) -> LakeTable:
+    table = _fresh_lake(spark, name).table("customers", "customer_id")
+    table.create(prepared(tables.customers(spark, folder), CUSTOMERS_AS_OF, RUN_ID))
+    return table
+
+
+def lake_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The partitions whose files the manifest names."""
+    listed = spark.read.text(_customers_table(spark, folder, "manifest").write_manifest())
+    parts = [
+        F.regexp_extract("value", rf"/{c}=(\d+)/", 1).cast("int").alias(c) for c in PARTITION_COLUMNS
+    ]
+    return listed.select(*parts).distinct()
+
+
+def lake_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """The partitions found in a folder that was written without the catalog."""
+    lake = _fresh_lake(spark, "partitions")
+    landed = f"{lake.location}/landed"
+    rows = prepared(tables.customers(spark, folder), CUSTOMERS_AS_OF, RUN_ID)
+    rows.repartition(*PARTITION_COLUMNS).write.partitionBy(*PARTITION_COLUMNS).parquet(landed)
+    table = lake.table("customers", "customer_id")
+    catalog.discover_table(spark, table.name, landed)
+    return table.partitions().select(*PARTITION_COLUMNS)
+
+
+def lake_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """The lake's folders, and whether each has files of some size."""
+    table = _customers_table(spark, folder, "inventory")
+    table.write_manifest()
+    listed = files.with_folder(files.list_files(spark, table.lake.location), table.lake.location)
+    sizes = files.folder_sizes(listed)
+    return sizes.select("folder", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
+
+
+def incremental_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A second load of the same source reads nothing; the rows stay."""
+    table = _fresh_lake(spark, "empty").table("customers", "customer_id")
+    source = tables.customers(spark, folder)
+    load_increment(table, source, CUSTOMERS_AS_OF, RUN_ID)
+    again = load_increment(table, source, CUSTOMERS_AS_OF, RUN_ID)
+    return _stored(table).withColumn("read_again", F.lit(again.rows_read).cast("bigint"))
+
+
+def incremental_after_reset(spark: SparkSession, folder: str) -> DataFrame:
+    """After a reset the whole source is read again, and each row is there once."""
+    table = _fresh_lake(spark, "reset").table("customers", "customer_id")
+    source = tables.customers(spark, folder)
+    load_increment(table, source, CUSTOMERS_AS_OF, RUN_ID)
+    Watermarks(table.lake).reset(table.short_name)
+    again = load_increment(table, source, CUSTOMERS_AS_OF, RUN_ID)
+    return _stored(table).withColumn("read_again", F.lit(again.rows_read).cast("bigint"))
+
+
+def inc_unstamped(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the orders has no stamp; two reads get every order once."""
+    orders = tables.order_rows(spark, folder)
+    bare = F.when(F.col("order_id") % 3 != 0, F.col("updated_at"))
+    orders = orders.withColumn("updated_at", bare)
+    half = orders.agg(F.expr("percentile_approx(order_id, 0.5)")).first()[0]
+    early = (F.col("updated_at") < ntz(ORDERS_CUT)) | (
+        F.col("updated_at").isNull() & (F.col("order_id") <= half)
+    )
+    first = increments.after_mark(orders.where(early), None, "order_id")
+    second = increments.after_mark(orders, increments.high_mark(first, "order_id"), "order_id")
+    return _doubles(first.union(second))
+
+
+def load_all_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Both tables loaded, then profiled."""
+    lake = _fresh_lake(spark, "profile")
+    sources = [
+        (lake.table("customers", "customer_id"), tables.customers(spark, folder)),
+        (lake.table("orders", "order_id"), tables.order_rows(spark, folder)),
+    ]
+    return load_all(sources, ORDERS_AS_OF, RUN_ID).profile
+
+
+def saved_report(spark: SparkSession, folder: str) -> DataFrame:
+    report = _doubles(reports.top_products(tables.sales(spark, folder)))
+    stored = save_result(report, f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}", "top_products")
+    return spark.read.parquet(stored)
+
+
 def schema_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Older files lack the segment column; the table discovered from both has it."""
     customers = tables.customers(spark, folder)
@@ -274,7 +366,7 @@ QUERIES: dict[str, Query] = {
     "top5_customers": _on_both(reports.top_customers),
     "top5_products": _on_sales(reports.top_products_by_revenue),
     "customer_lifetime_value": _on_both(reports.customer_lifetime_value),
-    "monthly_revenue_partitioned": _on_sales(_monthly_revenue),
+    "monthly_revenue_partitioned": monthly_revenue_partitioned,
     "recent_changes": lambda spark, folder: reports.recent_changes(
         tables.customers(spark, folder),
         tables.order_rows(spark, folder),
@@ -290,6 +382,7 @@ QUERIES: dict[str, Query] = {
     "inc_bookmark": _on_orders(
         lambda orders: increments.after_mark(orders, Mark("1999-12-31 00:00:00", 5000), "order_id")
     ),
+    "inc_unstamped": inc_unstamped,
     "inc_customers_filter": _on_customers(
         lambda customers: increments.changed_customers(customers, CUSTOMERS_CUT)
     ),
@@ -314,6 +407,11 @@ QUERIES: dict[str, Query] = {
     "sample_customers": _on_customers(
         lambda customers: ranking.sample_rows(customers, "customer_id", 3, seed=7)
     ),
+    "top_per_group": _on_orders(
+        lambda orders: ranking.top_per_group(
+            orders, "customer_id", [F.desc("price"), F.asc("order_id")], 3
+        )
+    ),
     "sample_recent_orders": _on_orders(
         lambda orders: ranking.sample_rows(
             increments.recent_orders(orders, ORDERS_AS_OF), "order_id", 5, seed=7
@@ -341,6 +439,13 @@ QUERIES: dict[str, Query] = {
     "lake_compact": lake_compact,
     "lake_latest": lake_latest,
     "incremental_orders": incremental_orders,
+    "incremental_empty": incremental_empty,
+    "incremental_after_reset": incremental_after_reset,
+    "lake_manifest": lake_manifest,
+    "lake_partitions": lake_partitions,
+    "lake_inventory": lake_inventory,
+    "load_all_profile": load_all_profile,
+    "saved_report": saved_report,
     # Catalog and checks
     "schema_merge": schema_merge,
     "table_profile": _table_profile,
