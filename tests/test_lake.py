@@ -8,7 +8,7 @@ from tidemark.functions.audit import prepared
 from tidemark.operators.increments import summarize
 from tidemark.operators.lake import LakeTable
 from tidemark.session import session_conf
-from tidemark.sources.files import list_files
+from tidemark.sources.files import list_files, list_partition_files
 
 
 def rows(spark, *orders):
@@ -195,6 +195,25 @@ def test_manifest_lists_live_files_only(spark, lake):
     assert listed == files(t) and all("day=16" in f for f in listed)
 
 
+def test_work_after_a_batch_follows_the_batch(spark, lake, monkeypatch):
+    """A table of 60 days and a batch for one of them: one folder is listed."""
+    t = table(lake)
+    days = [f"2025-{m:02d}-{d:02d}" for m in (1, 2, 3) for d in range(1, 21)]
+    t.create(rows(spark, *[data.order(i, day) for i, day in enumerate(days)]))
+    folder = t.write_manifest()
+    seen = []
+    monkeypatch.setattr(
+        "tidemark.operators.lake.list_partition_files",
+        lambda spark, folder, inside=None: seen.append(inside) or list_partition_files(spark, folder, inside),
+    )
+    done = t.upsert(rows(spark, data.order(100, "2025-02-05")))
+    assert done.touched == {20250205}
+    t.compact(max_files=1, within=done.touched)
+    t.write_manifest(done.touched)
+    assert seen == [["year=2025/month=2/day=5"]] * 2
+    assert sorted(r.value for r in spark.read.text(folder).collect()) == files(t)
+
+
 def test_interrupted_swap_is_finished_by_the_next_run(spark, lake, monkeypatch):
     t = table(lake)
     t.create(rows(spark, *[data.order(i, f"2025-01-{i}") for i in (11, 12, 13)]))

@@ -17,7 +17,7 @@ def test_scenario(spark, lake):
     """Load, change, load again: new and updated rows arrive, nothing else is read."""
     t, marks = lake.table("orders", "order_id"), Watermarks(lake)
     source = data.orders(spark, *[data.order(i, f"2025-01-{10 + i}") for i in range(1, 6)])
-    first = load_increment(t, source, NOW, "run_1")
+    first = load_increment(t, source, NOW, "run_1", verify=True)
     assert (first.rows_read, first.final_count) == (5, 5)
     assert marks.current("orders") == Mark("2025-01-15 00:00:00", "5")
     assert [r.order_id for r in first.latest.collect()] == [5, 4, 3, 2, 1]
@@ -30,7 +30,7 @@ def test_scenario(spark, lake):
             data.order(6, "2025-02-01"),
         )
     )
-    second = load_increment(t, changed, NOW, "run_2")
+    second = load_increment(t, changed, NOW, "run_2", verify=True)
     assert (second.rows_read, second.final_count) == (2, 6)
     assert data.values(t.read(), "order_id", "price", "etl_job_run_id") == [
         (1, Decimal("1.50"), "run_2"),
@@ -96,7 +96,7 @@ def test_table_without_updated_at(spark, lake):
     t = lake.table("codes", "id")
     source = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, code STRING")
     load_increment(t, source, NOW, "run_1")
-    run = load_increment(t, source.union(spark.createDataFrame([(3, "c")], source.schema)), NOW, "run_2")
+    run = load_increment(t, source.union(spark.createDataFrame([(3, "c")], source.schema)), NOW, "run_2", verify=True)
     assert (run.rows_read, run.final_count) == (1, 3)
     assert data.values(t.read(), "id", "year", "month", "day") == [(i, 2025, 8, 1) for i in (1, 2, 3)]
     assert Watermarks(lake).current("codes") == Mark(None, "3")
@@ -105,7 +105,7 @@ def test_table_without_updated_at(spark, lake):
 def test_change_log_in_the_first_load(spark, lake):
     t = lake.table("orders", "order_id")
     source = data.orders(spark, data.order(1, "2025-01-15", "1.00"), data.order(1, "2025-01-16", "2.00"))
-    run = load_increment(t, source, NOW, "run_1")
+    run = load_increment(t, source, NOW, "run_1", verify=True)
     assert run.final_count == 1
     assert data.values(t.read(), "order_id", "price") == [(1, Decimal("2.00"))]
 

@@ -10,7 +10,7 @@ def test_commands(spark, tmp_path, capsys):
     )
     data.customers(spark, (1, "ann", "2025-01-01", "2025-01-01")).write.parquet(f"{landed}/customers")
     base = ["--database", "command_line", "--location", str(tmp_path / "lake")]
-    load = [*base, "load", "customers", "orders", "--files", landed]
+    load = [*base, "load", "customers", "orders", "--files", landed, "--verify"]
     try:
         assert main(load) == 0
         assert "orders: 2 rows read, 2 in the table" in capsys.readouterr().out

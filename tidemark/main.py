@@ -36,6 +36,8 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     load.add_argument("--jdbc-schema", default="public")
     load.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     load.add_argument("--job-name", default="load")
+    load.add_argument("--lookback", help="read again what is so much older than the mark, as '2 hours'")
+    load.add_argument("--verify", action="store_true", help="count each table after its load")
 
     commands.add_parser("marks", help="show where each table's reads stand")
     reset = commands.add_parser("reset", help="forget marks, of all tables if none is named")
@@ -71,9 +73,13 @@ def _load(spark: SparkSession, lake: Lake, options: argparse.Namespace) -> int:
     sources = [
         (lake.table(t, key_of(t)), _source(spark, options, t)) for t in options.tables
     ]
-    done = load_all(sources, now, run_id, unique=options.jdbc_url is not None)
+    unique = options.jdbc_url is not None
+    done = load_all(
+        sources, now, run_id, unique=unique, verify=options.verify, lookback=options.lookback
+    )
     for run in done.runs.values():
-        print(f"{run.table}: {run.rows_read} rows read, {run.final_count} in the table")
+        counted = "" if run.final_count is None else f", {run.final_count} in the table"
+        print(f"{run.table}: {run.rows_read} rows read{counted}")
         if run.latest is not None:
             run.latest.show(truncate=False)
     for table, error in done.errors.items():

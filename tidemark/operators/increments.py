@@ -81,10 +81,12 @@ class Summary:
     high_key: Any
     mark: Mark | None
     repeated: bool
+    # Numbers of the partitions that a merge of the batch changed; None stands for all.
+    touched: frozenset[int] | None = None
 
     @staticmethod
     def empty() -> Summary:
-        return Summary(0, None, None, None, False)
+        return Summary(0, None, None, None, False, frozenset())
 
 
 def summarize(df: DataFrame, key: str, unique: bool = False) -> Summary:

@@ -12,7 +12,8 @@ There must be one writer per table; readers may see a swap half done.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -80,6 +81,7 @@ class LakeTable:
         self.spark = lake.spark
         self.short_name = name.lower()
         self.name = f"`{lake.database}`.`{self.short_name}`"
+        self.manifest = f"`{lake.database}`.`manifest_{self.short_name}`"
         self.key = key
 
     # Reading
@@ -177,14 +179,20 @@ class LakeTable:
         self._replace(rows, _numbers(self.partitions().collect()))
 
     @_listing_tuned
-    def compact(self, max_files: int = 10, target_bytes: int = TARGET_FILE_BYTES) -> int:
-        """Merge small files when the table has more than ``max_files`` files.
+    def compact(
+        self,
+        max_files: int = 10,
+        target_bytes: int = TARGET_FILE_BYTES,
+        within: Collection[int] | None = None,
+    ) -> int:
+        """Merge small files when there are more than ``max_files`` files.
 
         Only partitions whose files are well below the target size are rewritten.
-        Returns how many were.
+        With ``within`` only the numbered partitions are looked at, so that the work
+        after a batch follows the batch. Returns how many were rewritten.
         """
         sizes = (
-            self._files()
+            self._files(within)
             .groupBy("number")
             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
             .collect()
@@ -199,11 +207,34 @@ class LakeTable:
         return len(crowded)
 
     @_listing_tuned
-    def write_manifest(self) -> str:
-        """List the table's data files as text, replacing the list before."""
-        folder = f"{self.lake.location}/symlink_format_manifest/{self.short_name}"
-        self._files().select("path").write.mode("overwrite").text(folder)
-        return folder
+    def write_manifest(self, within: Collection[int] | None = None) -> str:
+        """List the table's data files as text, a folder per partition.
+
+        With ``within`` only the lists of the numbered partitions are replaced, or
+        dropped for those that are gone. Returns the folder.
+        """
+        if not self.spark.catalog.tableExists(self.manifest):
+            within = None
+            self.spark.sql(
+                f"CREATE TABLE {self.manifest} (path STRING, number INT) USING text "
+                "PARTITIONED BY (number)"
+            )
+        listed = set(
+            _numbers(
+                self.spark.sql(f"SHOW PARTITIONS {self.manifest}")
+                .select(F.expr("CAST(split_part(partition, '=', 2) AS INT)").alias("number"))
+                .collect()
+            )
+        )
+        live = set(_numbers(self.partitions().collect()))
+        gone = (listed if within is None else listed & set(within)) - live
+        with session_conf(self.spark, DYNAMIC_OVERWRITE):
+            paths = self._files(within).select("path", "number").repartition("number")
+            paths.write.insertInto(self.manifest, overwrite=True)
+        if gone:
+            specs = ", ".join(f"PARTITION (number = {n})" for n in sorted(gone))
+            self.spark.sql(f"ALTER TABLE {self.manifest} DROP IF EXISTS {specs}")
+        return f"{self.lake.location}/manifest_{self.short_name}"
 
     def finish_interrupted(self) -> None:
         """Complete the merge of a run that died, and drop what else it staged.
@@ -225,11 +256,18 @@ class LakeTable:
         for run in runs["batch"]:
             self._drop_staged("batch", run)
 
-    def _files(self) -> DataFrame:
+    def _files(self, within: Collection[int] | None = None) -> DataFrame:
         """The table's files; folders that are no partition of it do not count."""
-        files = list_partition_files(self.spark, self.location)
+        known = self.partitions()
+        if within is None:
+            files = list_partition_files(self.spark, self.location)
+        else:
+            inside = known.where(F.col("number").isin(sorted(within))).collect()
+            if not inside:
+                return self.spark.createDataFrame([], "path STRING, length BIGINT, number INT")
+            files = list_partition_files(self.spark, self.location, [r["partition"] for r in inside])
         return files.withColumn("number", partition_key()).join(
-            self.partitions().select("number"), "number", "left_semi"
+            known.select("number"), "number", "left_semi"
         )
 
     # Steps of a merge
@@ -252,7 +290,7 @@ class LakeTable:
         if summary.rows:
             # From here on a run that dies is merged again by the next one.
             self._stage("merge", self.spark.createDataFrame([(summary.rows,)], "rows BIGINT"), runs[-1])
-            self._merge(rows, summary)
+            summary = replace(summary, touched=self._merge(rows, summary))
             self._drop_staged("merge", runs[-1])
         for run in runs:
             self._drop_staged("batch", run)
@@ -263,7 +301,8 @@ class LakeTable:
         latest = latest_per_key(self.read(), self.key, repeated_only=True)
         self._merge_staged(latest, only_newer=False, unique=True)
 
-    def _merge(self, rows: DataFrame, summary: Summary) -> None:
+    def _merge(self, rows: DataFrame, summary: Summary) -> frozenset[int]:
+        """Apply a batch with one row per key; the numbers of the partitions it changed."""
         self._add_columns(rows)
         target = set(_numbers(rows.select(partition_key().alias("number")).distinct().collect()))
         known = set(_numbers(self.partitions().collect()))
@@ -282,6 +321,7 @@ class LakeTable:
             self._insert(rows.where(_in_partitions(grown)), overwrite=False)
         if run:
             self._publish(run)
+        return frozenset(target | held)
 
     def _partitions_holding(self, rows: DataFrame, summary: Summary) -> set[int]:
         """Numbers of the partitions with a row that the batch replaces.

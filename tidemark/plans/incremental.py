@@ -43,7 +43,7 @@ def load_increment(
     run_id: str,
     max_files: int = 10,
     unique: bool = False,
-    verify: bool = True,
+    verify: bool = False,
     lookback: str | None = None,
 ) -> Run:
     """Bring new and updated source rows into the table.
@@ -63,8 +63,8 @@ def load_increment(
     if not done.rows:
         return Run(table.short_name, 0)
     final_count, latest = table.count() if verify else None, table.latest()
-    table.compact(max_files)
-    manifest = table.write_manifest()
+    table.compact(max_files, within=done.touched)
+    manifest = table.write_manifest(done.touched)
     mark = done.mark.after(before)
     marks.commit(table.short_name, mark, run_id)
     return Run(table.short_name, done.rows, mark, final_count, latest, manifest)
@@ -82,6 +82,8 @@ def load_all(
     as_of: str | datetime,
     run_id: str,
     unique: bool = False,
+    verify: bool = False,
+    lookback: str | None = None,
 ) -> AllRuns:
     """Load every table; refresh and profile the catalog only if all loads succeeded.
 
@@ -93,7 +95,7 @@ def load_all(
     for table, source in sources:
         try:
             runs[table.short_name] = load_increment(
-                table, source, as_of, run_id, unique=unique
+                table, source, as_of, run_id, unique=unique, verify=verify, lookback=lookback
             )
         except Exception as error:  # noqa: BLE001 - reported per table
             errors[table.short_name] = error

@@ -358,7 +358,7 @@ ORACLE: dict[str, str] = {
     "lake_partitions": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
     "lake_inventory": _with(
         """SELECT folder, COUNT(*) > 0 AS has_files
-        FROM customers, (VALUES ('customers'), ('symlink_format_manifest')) folders(folder)
+        FROM customers, (VALUES ('customers'), ('manifest_customers')) folders(folder)
         GROUP BY folder"""
     ),
     "load_all_profile": _with(_profile(stored=True)),

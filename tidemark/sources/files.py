@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +28,18 @@ def list_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
     )
 
 
-def list_partition_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Like :func:`list_files` for a partitioned table, with its partition columns."""
+def list_partition_files(
+    spark: SparkSession, folder: str, partitions: Sequence[str] | None = None
+) -> DataFrame:
+    """Like :func:`list_files` for a partitioned table, with its partition columns.
+
+    Only the named ``partitions``, such as ``year=2025/month=1/day=15``, are listed.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    inside = [folder] if partitions is None else [f"{folder}/{p}" for p in partitions]
     return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(folder)
+        reader.option("basePath", folder)
+        .load(inside)
         .drop("content")
         .coalesce(LISTING_TASKS)
     )
