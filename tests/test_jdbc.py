@@ -1,5 +1,6 @@
 """Reader options only: no database may be started here."""
 
+from tidemark.operators.increments import Mark
 from tidemark.sources import jdbc
 
 
@@ -19,6 +20,24 @@ def test_bounds_come_from_one_query():
     assert jdbc.bounds_query("t", "k") == "SELECT MIN(k) AS lo, MAX(k) AS hi FROM t"
 
 
+def test_ranges_cut_the_increment():
+    where = jdbc.mark_condition(Mark("2025-01-02 00:00:00", "9", "4"), "k")
+    assert where == "(updated_at >= '2025-01-02 00:00:00' OR updated_at IS NULL)"
+    assert jdbc.bounds_query("t", "k", where).endswith(f" WHERE {where}")
+    assert jdbc.mark_condition(None, "k") is None
+    assert jdbc.mark_condition(Mark(None, "9"), "k") == "k > 9"
+    assert jdbc.mark_condition(Mark(None, "it's"), "k") == "k > 'it''s'"
+
+
+def test_other_keys_are_dealt_by_hash():
+    found = jdbc.hash_predicates("code", 3)
+    assert found[0] == "MOD(hashtext(code::text), 3) IN (0, -3) OR code IS NULL"
+    assert found[2] == "MOD(hashtext(code::text), 3) IN (2, -1)"
+    # Remainders of either sign fall in exactly one of them.
+    wanted = [{i, i - 3} for i in range(3)]
+    assert all(sum(r in w for w in wanted) == 1 for r in (-2, -1, 0, 1, 2))
+
+
 def test_zone_less_stamps_stay_zone_less_and_compile(spark):
     """The watermark literal is quoted as the database expects it."""
     assert jdbc.scan_options("jdbc:x", "t")["preferTimestampNTZ"] == "true"

@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.catalog import read_merged
 from tidemark.operators.constraints import check_constraints
+from tidemark.operators.increments import Mark
 from tidemark.operators.lake import Lake
 from tidemark.operators.results import save_result
 from tidemark.operators.watermarks import Watermarks
 from tidemark.plans.incremental import key_of, load_all
 from tidemark.plans.reports import REPORTS
-from tidemark.sources.jdbc import read_table
+from tidemark.sources.jdbc import mark_condition, read_table
 
 
 def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
@@ -35,6 +36,7 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     source.add_argument("--jdbc-url")
     load.add_argument("--jdbc-schema", default="public")
     load.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
+    load.add_argument("--jdbc-partitions", type=int, default=16, help="tasks that read a table")
     load.add_argument("--job-name", default="load")
     load.add_argument("--lookback", help="read again what is so much older than the mark, as '2 hours'")
     load.add_argument("--verify", action="store_true", help="count each table after its load")
@@ -52,12 +54,18 @@ def parse(arguments: Sequence[str] | None) -> argparse.Namespace:
     return parser.parse_args(arguments)
 
 
-def _source(spark: SparkSession, options: argparse.Namespace, table: str) -> DataFrame:
+def _source(
+    spark: SparkSession, options: argparse.Namespace, table: str, mark: Mark | None
+) -> DataFrame:
     if options.files:
         return read_merged(spark, f"{options.files.rstrip('/')}/{table}")
     connection = dict(pair.split("=", 1) for pair in options.jdbc_option)
     name = f"{options.jdbc_schema}.{table}"
-    return read_table(spark, options.jdbc_url, name, key_of(table), **connection)
+    key = key_of(table)
+    where = None if options.lookback else mark_condition(mark, key)
+    return read_table(
+        spark, options.jdbc_url, name, key, options.jdbc_partitions, where, **connection
+    )
 
 
 def _print_all(df: DataFrame) -> None:
@@ -70,8 +78,10 @@ def _print_all(df: DataFrame) -> None:
 def _load(spark: SparkSession, lake: Lake, options: argparse.Namespace) -> int:
     now = datetime.now(UTC)
     run_id = f"{options.job_name}_{int(now.timestamp())}"
+    marks = Watermarks(lake)
     sources = [
-        (lake.table(t, key_of(t)), _source(spark, options, t)) for t in options.tables
+        (lake.table(t, key_of(t)), _source(spark, options, t, marks.current(t)))
+        for t in options.tables
     ]
     unique = options.jdbc_url is not None
     done = load_all(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.functions.audit import prepared
 from tidemark.operators.catalog import table_profile
-from tidemark.operators.increments import Mark, after_mark
+from tidemark.operators.increments import Mark, after_mark, backfill_or_since, micro_batch
 from tidemark.operators.lake import LakeTable
 from tidemark.operators.watermarks import Watermarks
 
@@ -45,6 +45,7 @@ def load_increment(
     unique: bool = False,
     verify: bool = False,
     lookback: str | None = None,
+    first_days: int | None = None,
 ) -> Run:
     """Bring new and updated source rows into the table.
 
@@ -52,12 +53,15 @@ def load_increment(
     ``verify`` counts the table afterwards, which opens each of its files.
     ``lookback``, such as ``2 hours``, reads again what is stamped so long before the
     mark, for rows committed late; the merge leaves what it knows as it is.
+    ``first_days`` limits a first load to rows updated within so many days.
 
     The mark moves last, and only to what the written batch holds. A run that
     fails before is repeated from the old mark, with the same result.
     """
     marks = Watermarks(table.lake)
     before = marks.current(table.short_name)
+    if before is None and first_days is not None:
+        source = backfill_or_since(source, None, as_of, first_days)
     batch = after_mark(source, before, table.key, lookback)
     done = table.upsert(prepared(batch, as_of, run_id), unique=unique)
     if not done.rows:
@@ -70,6 +74,21 @@ def load_increment(
     return Run(table.short_name, done.rows, mark, final_count, latest, manifest)
 
 
+def load_in_steps(
+    table: LakeTable, source: DataFrame, as_of: str | datetime, run_id: str, rows: int, **how
+) -> list[Run]:
+    """Load a large increment ``rows`` at a time, each step with a mark of its own.
+
+    A run that fails goes on behind the last step that was done.
+    """
+    marks, runs = Watermarks(table.lake), []
+    while True:
+        batch = micro_batch(source, marks.current(table.short_name), table.key, rows)
+        runs.append(load_increment(table, batch, as_of, f"{run_id}_{len(runs) + 1}", **how))
+        if not runs[-1].rows_read:
+            return runs
+
+
 @dataclass(frozen=True)
 class AllRuns:
     runs: dict[str, Run]

@@ -354,6 +354,7 @@ ORACLE: dict[str, str] = {
     "incremental_after_reset": _with(
         f"SELECT *{_parts()}, (SELECT COUNT(*) FROM customers) AS read_again FROM customers"
     ),
+    "incremental_micro_batches": _with(f"SELECT *{_parts()} FROM customers"),
     "lake_manifest": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
     "lake_partitions": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
     "lake_inventory": _with(

@@ -17,7 +17,7 @@ from tidemark.operators.lake import Lake, LakeTable
 from tidemark.operators.results import save_result
 from tidemark.operators.watermarks import Watermarks
 from tidemark.plans import reports
-from tidemark.plans.incremental import load_all, load_increment
+from tidemark.plans.incremental import load_all, load_in_steps, load_increment
 from tidemark.session import shared_dir
 from tidemark.sources import files, tables
 
@@ -312,6 +312,14 @@ def incremental_after_reset(spark: SparkSession, folder: str) -> DataFrame:
     return _stored(table).withColumn("read_again", F.lit(again.rows_read).cast("bigint"))
 
 
+def incremental_micro_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers loaded in three steps end as by one load."""
+    source = tables.customers(spark, folder)
+    table = _fresh_lake(spark, "steps").table("customers", "customer_id")
+    load_in_steps(table, source, CUSTOMERS_AS_OF, RUN_ID, source.count() // 3 + 1)
+    return _stored(table)
+
+
 def inc_unstamped(spark: SparkSession, folder: str) -> DataFrame:
     """A third of the orders has no stamp; two reads get every order once."""
     orders = tables.order_rows(spark, folder)
@@ -441,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "incremental_orders": incremental_orders,
     "incremental_empty": incremental_empty,
     "incremental_after_reset": incremental_after_reset,
+    "incremental_micro_batches": incremental_micro_batches,
     "lake_manifest": lake_manifest,
     "lake_partitions": lake_partitions,
     "lake_inventory": lake_inventory,

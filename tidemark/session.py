@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -28,7 +27,7 @@ def local_session(name: str, cpus: int | str = "*", memory: str = "8g") -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder.
+    Only a local session may fall back to a folder in its warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -36,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="tidemark-")
+    made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     context.setCheckpointDir(made)
     return made
 
