@@ -15,8 +15,7 @@ _numbers = itertools.count()
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", 4, "6g")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session("tests", 4, "6g", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -8,9 +8,14 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 
-def local_session(name: str, cpus: int | str = "*", memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; clusters bring their own."""
-    spark = (
+def local_session(
+    name: str, cpus: int | str = "*", memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A session for tests and the benchmark; clusters bring their own.
+
+    ``shared`` is the folder for intermediate data.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", "8")
@@ -18,8 +23,10 @@ def local_session(name: str, cpus: int | str = "*", memory: str = "8g") -> Spark
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
