@@ -90,7 +90,8 @@ def test_similar_sets_share_a_signature():
                 continue
             common = np.sort(rng.choice(a, size=rng.integers(0, len(a) + 1), replace=False))
             assert len(np.intersect1d(signatures(a, bands, common), signatures(b, bands, common)))
-            assert may_be_similar(sketch(a), len(a), sketch(b), len(b), 75)
+            bitmap = np.frombuffer(sketch(b), np.uint8)[None, :]
+            assert may_be_similar(sketch(a), len(a), bitmap, np.array([len(b)]), 75)[0]
 
 
 def test_hashes_do_not_depend_on_pieces(monkeypatch):

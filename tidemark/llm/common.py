@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_dir
+from tidemark.session import session_conf, shared_dir
 
 # The space characters of the contracts, and letters folded by them.
 SPACES = " \t\n\x0b\x0c\r"
+# Rows that a Python worker gets at once: texts can be long.
+ARROW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -20,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have this session send Python workers few texts at a time.
+
+    For callers that write a lazy result themselves; what operators store on their way
+    comes in small batches anyway.
+    """
+    for key, value in ARROW_ROWS.items():
+        spark.conf.set(key, value)
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder, reached by all executors."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
@@ -32,7 +44,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    df.write.parquet(path)
+    with session_conf(spark, ARROW_ROWS):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,10 +15,13 @@ too few, each of its shingles. Similar sets always share one of these, so no lin
 between them is lost.
 
 Signatures are shipped in packed blocks and sorted bucket by bucket. A shared
-signature gives candidate pairs of its first set with each other one. They are
-compared exactly on their shingle sets. Where a signature's sets do not all end in
-one component that way, the pairs between its components are compared too. Only
-components are wanted, so pairs inside one need no comparison.
+signature gives candidate pairs of its first set with each other one. Bitmaps of
+their shingles, two bytes a shingle, bound what two sets can share; pairs that pass
+are compared exactly on their shingle sets. Where a signature's sets do not all end in
+one component that way, its most widely shared set is compared with the others. What is
+still apart then is compared across components: pair by pair in small groups, and
+tile by tile of some hundred sets where many share a signature, as edited copies of
+one text do. Only components are wanted, so pairs inside one need no comparison.
 """
 
 from __future__ import annotations
@@ -36,10 +39,12 @@ from tidemark.llm.components import components
 from tidemark.llm.hashing import mixed, shingle_sets
 
 BLOCK_TEXTS = 512
-SIGNATURES_PER_BUCKET = 1_000_000
+SIGNATURES_PER_BUCKET = 500_000
 BROADCAST_IDS = 1_000_000
-COMMON_SAMPLE = 4000
-COMMON_SHARE = 0.005
+COMMON_SAMPLE = 16_000
+COMMON_SHARE = 0.0005
+TILE_SETS = 512
+LARGE_GROUP = 64
 
 _u = np.uint64
 
@@ -125,10 +130,11 @@ def _classes(docs: DataFrame, width: int) -> DataFrame:
             first, second = set_hashes(sets)
             sizes = np.array([len(s) for s in sets])
             yield pd.DataFrame(
-                {"id": block["id"].array, "size": sizes, "set": pd.array(first.view(np.int64), dtype="Int64").copy(), "other": second.view(np.int64)}
+                {"id": block["id"].array, "text_hash": block["text_hash"].to_numpy(), "size": sizes, "set": pd.array(first.view(np.int64), dtype="Int64").copy(), "other": second.view(np.int64)}
             ).assign(set=lambda f: f["set"].mask(f["size"] == 0))
 
-    return docs.mapInPandas(classify, "id long, size long, set long, other long")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    return hashed.mapInPandas(classify, "id long, text_hash long, size long, set long, other long")
 
 
 def _common(docs: DataFrame, width: int) -> np.ndarray:
@@ -171,7 +177,7 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
                     names.append(found)
                     owners.append(np.full(len(found), own))
                     held += len(found)
-                if held > SIGNATURES_PER_BUCKET * 2:
+                if held > SIGNATURES_PER_BUCKET:
                     yield from pack(names, owners)
                     names, owners, held = [], [], 0
             yield from pack(names, owners)
@@ -188,13 +194,14 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
         yield pd.DataFrame(
             {
                 "bucket": bucket[starts].astype(np.int64),
-                "names": [x.tobytes() for x in np.split(name, edges)] if len(name) else [],
+                # The bucket has the upper half; a name met by chance costs one comparison more.
+                "names": [x.tobytes() for x in np.split(name.astype(np.uint32), edges)] if len(name) else [],
                 "owners": [x.tobytes() for x in np.split(owner, edges)] if len(name) else [],
             }
         )
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
-        name = np.frombuffer(b"".join(block["names"]), dtype=np.uint64)
+        name = np.frombuffer(b"".join(block["names"]), dtype=np.uint32)
         owner = np.frombuffer(b"".join(block["owners"]), dtype=np.uint64)
         order = np.argsort(name, kind="stable")
         name, owner = name[order], owner[order]
@@ -224,11 +231,88 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
     return packed.groupBy("bucket").applyInPandas(meet, "a long, b long, members binary")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar, by exact comparison."""
+def _slots(size: int) -> int:
+    """Bits of a set's bitmap: a power of two, 8 to 16 for each shingle."""
+    return 1 << max(6, (16 * size).bit_length() - 1)
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bitmap of the slots that the shingles fall in."""
+    bits = np.zeros(_slots(len(shingles)), dtype=bool)
+    bits[(shingles & _u(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(bitmaps: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps, one a row, over the fewer slots of ``width`` bytes."""
+    return np.bitwise_or.reduce(bitmaps.reshape(len(bitmaps), -1, width), axis=1)
+
+
+def _filled(bitmaps: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bitmaps).sum(axis=1, dtype=np.int64)
+
+
+def may_be_similar(a: bytes, size_a: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """False only for sets that can't be similar to the first; all others have one bitmap length.
+
+    Common shingles lie in common slots. They are no more than these, but for those
+    shingles of either set that share a slot with another one of it.
+    """
+    own = np.frombuffer(a, dtype=np.uint8)[None, :]
+    width = min(own.shape[1], others.shape[1])
+    own, others = _folded(own, width), _folded(others, width)
+    lost = np.minimum(size_a - _filled(own), sizes - _filled(others))
+    shared = np.minimum(_filled(own & others) + lost, np.minimum(size_a, sizes))
+    return 100 * shared >= percent * (size_a + sizes - shared)
+
+
+def _sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, whole: bool) -> DataFrame:
+    """set, size and content (the sketch, or the ``whole`` set) of the sets in the pairs, from one document each."""
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    firsts = stored(classes.join(wanted, "set").select(F.col("first").alias("id")).distinct(), "jaccard-wanted")
+    if firsts.count() <= BROADCAST_IDS:
+        firsts = F.broadcast(firsts)
+
+    def contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, sets in _blocks(batches, width):
+            sets = [s for s in sets if len(s)]
+            first, _ = set_hashes(sets)
+            yield pd.DataFrame(
+                {"set": first.view(np.int64), "size": [len(s) for s in sets], "content": [s.tobytes() if whole else sketch(s) for s in sets]}
+            )
+
+    texts = docs.join(firsts, docs["id"].eqNullSafe(firsts["id"]), "left_semi").select("text")
+    return stored(texts.mapInPandas(contents, "set long, size long, content binary"), "jaccard-contents")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """The distinct pairs whose sizes and contents pass the test."""
+    left = sets.select(F.col("set").alias("a"), F.col("size").alias("size_a"), F.col("content").alias("left"))
+    right = sets.select(F.col("set").alias("b"), F.col("size").alias("size_b"), F.col("content").alias("right"))
+    both = pairs.join(right, "b").join(left, "a")
+    return both.where(test("left", "size_a", "right", "size_b")).select("a", "b").distinct()
+
+
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose sets are similar, by exact comparison of those that may be."""
+
+    @F.pandas_udf("boolean")
+    def may_be(left: pd.Series, size_a: pd.Series, right: pd.Series, size_b: pd.Series) -> pd.Series:
+        out = [
+            may_be_similar(x, n, np.frombuffer(y, dtype=np.uint8)[None, :], np.array([m]), percent)[0]
+            for x, n, y, m in zip(left, size_a.tolist(), right, size_b.tolist())
+        ]
+        return pd.Series(out, dtype=bool)
+
+    close = stored(_compared(pairs, _sets(docs, classes, pairs, width, False), may_be), "jaccard-close")
+    return _exact(docs, classes, close, width, percent)
+
+
+def _exact(docs: DataFrame, classes: DataFrame, close: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs whose sets are similar, by comparison of the whole sets."""
 
     @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
+    def similar(left: pd.Series, size_a: pd.Series, right: pd.Series, size_b: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(left, right):
             a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
@@ -238,20 +322,86 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * shared >= percent * (len(a) + len(b) - shared))
         return pd.Series(out, dtype=bool)
 
-    left = sets.select(F.col("set").alias("a"), F.col("size").alias("size_a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("set").alias("b"), F.col("size").alias("size_b"), F.col("shingles").alias("right"))
-    sized = (
-        pairs.join(left.select("a", "size_a"), "a").join(right.select("b", "size_b"), "b")
-        .where(100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
-        .select("a", "b")
+    return stored(_compared(close, _sets(docs, classes, close, width, True), similar), "jaccard-links")
+
+
+def _open_groups(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """group, node and root of the signatures whose sets are in more than one component."""
+    rooted = members.join(joined, "node", "left").select("group", "node", F.coalesce("root", "node").alias("root"))
+    split = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return stored(rooted.join(split.select("group"), "group"), "jaccard-open")
+
+
+def _pairs_across(groups: DataFrame) -> DataFrame:
+    """Each two sets of a group from different components, as a and b."""
+
+    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = []
+            for sets in batch["sets"]:
+                node, root = (np.array([r[k] for r in sets], dtype=np.int64) for k in ("node", "root"))
+                left, right = np.triu_indices(len(node), 1)
+                apart = root[left] != root[right]
+                x, y = node[left[apart]], node[right[apart]]
+                held.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+            if held:
+                found = np.unique(np.concatenate(held), axis=0)
+                yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+    sets = groups.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("sets"))
+    return sets.select("sets").distinct().mapInPandas(pair, "a long, b long").distinct()
+
+
+def _close_in_tiles(docs: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs from different components of large groups that may be similar.
+
+    A set's home is its largest group; homes are cut into tiles by hash. Two tiles are
+    compared if a group has sets in both, each two once however many groups they share.
+    """
+    homes = groups.groupBy("node").agg(F.max(F.struct("members", "group")).alias("home"), F.first("root").alias("root"))
+    homes = homes.select("node", "root", F.col("home.group").alias("home"))
+    counts = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE_SETS).alias("tiles"))
+    placed = stored(
+        homes.join(counts, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile")),
+        "jaccard-placed",
+    )
+    contents = _sets(docs, classes, placed.select(F.col("node").alias("a"), F.col("node").alias("b")), width, False)
+    tiles = (
+        placed.join(contents.withColumnRenamed("set", "node"), "node")
+        .groupBy("tile", F.length("content").alias("bytes"))
+        .agg(F.collect_list(F.struct("node", "root", "size", "content")).alias("sets"))
+    )
+    tiles = stored(tiles, "jaccard-tiles")
+
+    met = groups.select("group", "node").join(placed.select("node", "tile"), "node").groupBy("group").agg(
+        F.sort_array(F.collect_set("tile")).alias("tiles")
+    ).select("tiles").distinct()
+    each = F.explode(F.flatten(F.transform("tiles", lambda x: F.transform(F.filter("tiles", lambda y: y >= x), lambda y: F.struct(x.alias("i"), y.alias("j"))))))
+    tile_pairs = met.select(each.alias("p")).select("p.i", "p.j").distinct()
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for left, right in zip(batch["left"], batch["right"]):
+                bitmaps = np.frombuffer(b"".join(r["content"] for r in right), dtype=np.uint8).reshape(len(right), -1)
+                node, root, size = (np.array([r[k] for r in right], dtype=np.int64) for k in ("node", "root", "size"))
+                for x in left:
+                    near = (100 * np.minimum(size, x["size"]) >= percent * np.maximum(size, x["size"])) & (root != x["root"])
+                    at = np.flatnonzero(near)
+                    if len(at):
+                        found = node[at[may_be_similar(x["content"], x["size"], bitmaps[at], size[at], percent)]]
+                        if len(found):
+                            yield pd.DataFrame({"a": np.minimum(x["node"], found), "b": np.maximum(x["node"], found)})
+
+    joined = tile_pairs.join(tiles.select(F.col("tile").alias("i"), F.col("sets").alias("left")), "i").join(
+        tiles.select(F.col("tile").alias("j"), F.col("sets").alias("right")), "j"
     )
-    return sized.join(right.select("b", "right"), "b").join(left.select("a", "left"), "a").where(similar("left", "right")).select("a", "b")
+    return stored(joined.select("left", "right").mapInPandas(compare, "a long, b long").distinct(), "jaccard-close-in-tiles")
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bands: Bands = Bands()
 ) -> DataFrame:
-    """One row per document: id, n_shingles and component_id, the smallest id reachable by links.
+    """One row per document: id, n_shingles, component_id, the smallest id reachable by links, and text_hash.
 
     Two documents link when their sets of ``width``-word shingles have a Jaccard
     similarity of ``bands.percent`` or more. Documents with fewer words have one
@@ -273,22 +423,7 @@ def near_duplicates(
     found = stored(_candidates(docs.select("text"), width, bands, buckets, _common(docs, width)), "jaccard-candidates")
 
     pairs = stored(found.where("members IS NULL").select("a", "b").distinct(), "jaccard-pairs")
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    firsts = stored(classes.join(wanted, "set").select(F.col("first").alias("id")).distinct(), "jaccard-wanted")
-    if firsts.count() <= BROADCAST_IDS:
-        firsts = F.broadcast(firsts)
-
-    def whole_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, sets in _blocks(batches, width):
-            sets = [s for s in sets if len(s)]
-            first, _ = set_hashes(sets)
-            yield pd.DataFrame({"set": first.view(np.int64), "size": [len(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
-
-    sets = stored(
-        docs.join(firsts, docs["id"].eqNullSafe(firsts["id"]), "left_semi").select("text").mapInPandas(whole_sets, "set long, size long, shingles binary"),
-        "jaccard-shingles",
-    )
-    links = stored(_links(pairs, sets, bands.percent).distinct(), "jaccard-links")
+    links = _links(docs, classes, pairs, width, bands.percent)
     joined = components(links)
 
     # What a shared signature leaves in more than one component is compared across them.
@@ -296,28 +431,40 @@ def near_duplicates(
     def unpacked(members):
         return np.frombuffer(members, dtype=np.int64).tolist()
 
-    groups = (
+    members = stored(
         found.where("members IS NOT NULL").select("members").distinct()
-        .select(F.xxhash64("members").alias("group"), F.explode(unpacked("members")).alias("node"))
-        .join(joined, "node", "left").select("group", "node", F.coalesce("root", "node").alias("root"))
-    )
-    split = groups.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("group")
-    open_groups = stored(groups.join(split, "group"), "jaccard-open")
-    across = (
-        open_groups.select("group", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        .join(open_groups.select("group", F.col("node").alias("b"), F.col("root").alias("root_b")), "group")
-        .where("root_a < root_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+        .select(F.xxhash64("members").alias("group"), F.explode(unpacked("members")).alias("node")),
+        "jaccard-groups",
     )
-    more = stored(_links(stored(across, "jaccard-across"), sets, bands.percent).distinct(), "jaccard-more")
-    if not more.isEmpty():
-        joined = components(links.union(more))
+    groups = _open_groups(members, joined)
+    if not groups.isEmpty():
+        # Of a group of edited copies the least edited one shares the most signatures.
+        spread = members.groupBy("node").agg(F.count("*").alias("spread"))
+        hubs = groups.join(spread, "node").groupBy("group").agg(F.max(F.struct("spread", "node", "root")).alias("hub"))
+        stars = groups.join(hubs, "group").where(F.col("root") != F.col("hub.root")).select(
+            F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")
+        )
+        more = _links(docs, classes, stored(stars.distinct().join(pairs, ["a", "b"], "left_anti"), "jaccard-stars"), width, bands.percent)
+        links = links.union(more)
+        joined = components(links)
+        groups = _open_groups(members, joined)
+    counts = groups.groupBy("group").agg(F.count("*").alias("members"))
+    groups = stored(groups.join(counts, "group"), "jaccard-sized")
+    small, large = (groups.where(c) for c in (F.col("members") < LARGE_GROUP, F.col("members") >= LARGE_GROUP))
+    if not small.isEmpty():
+        apart = stored(_pairs_across(small), "jaccard-apart")
+        links = links.union(_links(docs, classes, apart, width, bands.percent))
+    if not large.isEmpty():
+        close = _close_in_tiles(docs, classes, large, width, bands.percent)
+        links = links.union(_exact(docs, classes, close, width, bands.percent))
+    if not groups.isEmpty():
+        joined = components(links)
 
     rooted = classes.select("set", "other", "first").join(joined.withColumnRenamed("node", "set"), "set", "left").select(
         "set", "other", "first", F.coalesce("root", "set").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(rooted.join(least, "root").select("set", "other", "component_id"), "jaccard-components")
-    linked = rows.where("set IS NOT NULL").join(named, ["set", "other"]).select("id", "size", "component_id")
-    alone = rows.where("set IS NULL").select("id", "size", F.col("id").alias("component_id"))
-    return linked.union(alone).select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+    linked = rows.where("set IS NOT NULL").join(named, ["set", "other"]).select("id", "text_hash", "size", "component_id")
+    alone = rows.where("set IS NULL").select("id", "text_hash", "size", F.col("id").alias("component_id"))
+    return linked.union(alone).select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id", "text_hash")
