@@ -257,7 +257,7 @@ def repeated_runs(docs: DataFrame, limit: Threshold) -> tuple[DataFrame, DataFra
         texts.select("text", "runs").mapInPandas(segments_of, "h long, g long, n long, anchor int, last int, segment binary"),
         "suffix-segments",
     )
-    chunks = stored(_chunks(segments, limit), "suffix-chunks")
+    chunks = _chunks(segments, limit)  # cheaper to make twice than to keep
     # Chunks equal as a whole count as one from here on.
     wholes = stored(
         chunks.groupBy("whole").agg(
@@ -308,7 +308,9 @@ def remove_repeats(
         F.octet_length("text") >= limit.window
     )
     found, repeated = repeated_runs(keyed, limit)
-    parts = repeated.groupBy("h", "g").agg(F.collect_set(F.struct("low", "high")).alias("parts"))
+    # Stored, so that both sides of the join are plain shuffles: a run that very many
+    # places share is then split by adaptive execution.
+    parts = stored(repeated.groupBy("h", "g").agg(F.collect_set(F.struct("low", "high")).alias("parts")), "suffix-parts")
     covered = (
         found.join(parts, ["h", "g"])
         .groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "parts")).alias("__covered"))
