@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.line_dedup import dedup_lines
@@ -41,6 +41,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by labels learned from this stage's documents."""
+    small_batches(spark)
     scored = toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.where(F.col("predicted") == 0).select(*docs.columns)
 
@@ -69,6 +70,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
+    small_batches(spark)
     leaks = _keys_of(find_leaks(docs, table(spark, sf_dir, "benchmark")))
     return _keyed(docs).join(leaks, ["__k1", "__k2", "__k3"], "left_anti").select(*docs.columns)
 

@@ -28,7 +28,7 @@ from tidemark.llm.hashing import mixed
 
 UNKNOWN = "und"
 NO_CONTEXT_BITS = 8.0
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 
 def _grams(data: np.ndarray, n: int) -> np.ndarray:

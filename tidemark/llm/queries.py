@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import small_batches, table
 from tidemark.llm.decontamination import find_leaks
 from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard import near_duplicates
@@ -32,6 +32,7 @@ URL_RULES = [
 
 
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -45,21 +46,25 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = toxicity(docs, table(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return identify_language(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_hash")
 
 
 def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return extract_text(table(spark, folder, "pages").select("page_id", "html"))
 
 
