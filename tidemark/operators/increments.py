@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import day_of, minus, ntz
+from tidemark.operators.merge import latest_per_key
 
 Moment = str | date | datetime
 
@@ -72,6 +73,20 @@ def after_mark(
     return df.where(((stamp >= last) & ((stamp > last) | (F.col(key) > last_key))) | unstamped)
 
 
+def late_rows(df: DataFrame, mark: Mark, key: str, lookback: str, unique: bool = False) -> DataFrame:
+    """Stamped rows up to the mark that a ``lookback`` reads again, without unstamped ones.
+
+    Of a key that repeats, only a row with its last stamp counts, which may lie behind the
+    mark; keys known to be ``unique`` are not looked at.
+    """
+    stamp, last = F.col("updated_at"), ntz(mark.updated_at)
+    recent = df.where(stamp >= minus(mark.updated_at, lookback))
+    if not unique:
+        recent = latest_per_key(recent, key)
+    last_key = F.lit(mark.key).cast(df.schema[key].dataType)
+    return recent.where((stamp < last) | ((stamp == last) & (F.col(key) <= last_key)))
+
+
 @dataclass(frozen=True)
 class Summary:
     """What one pass over a batch tells."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.functions.audit import prepared
 from tidemark.operators.catalog import table_profile
-from tidemark.operators.increments import Mark, after_mark, backfill_or_since, micro_batch
+from tidemark.operators.increments import Mark, after_mark, backfill_or_since, late_rows, micro_batch
 from tidemark.operators.lake import LakeTable
 from tidemark.operators.watermarks import Watermarks
 
@@ -26,7 +26,10 @@ def key_of(table: str) -> str:
 
 @dataclass(frozen=True)
 class Run:
-    """Outcome of one table's load; without new rows only ``rows_read`` is set."""
+    """Outcome of one table's load; without new rows only ``rows_read`` is set.
+
+    ``read_to`` is the batch's own last row, which a ``lookback`` can leave behind the mark.
+    """
 
     table: str
     rows_read: int
@@ -34,6 +37,7 @@ class Run:
     final_count: int | None = None
     latest: DataFrame | None = None
     manifest: str | None = None
+    read_to: Mark | None = None
 
 
 def load_increment(
@@ -71,22 +75,44 @@ def load_increment(
     manifest = table.write_manifest(done.touched)
     mark = done.mark.after(before)
     marks.commit(table.short_name, mark, run_id)
-    return Run(table.short_name, done.rows, mark, final_count, latest, manifest)
+    return Run(table.short_name, done.rows, mark, final_count, latest, manifest, done.mark)
 
 
 def load_in_steps(
-    table: LakeTable, source: DataFrame, as_of: str | datetime, run_id: str, rows: int, **how
+    table: LakeTable,
+    source: DataFrame,
+    as_of: str | datetime,
+    run_id: str,
+    rows: int,
+    lookback: str | None = None,
+    first_days: int | None = None,
+    **how,
 ) -> list[Run]:
     """Load a large increment ``rows`` at a time, each step with a mark of its own.
 
-    A run that fails goes on behind the last step that was done.
+    A run that fails goes on behind the last step that was done. ``first_days`` cuts the
+    source of a first load before its steps. With a ``lookback``, the rows from so long
+    before the mark come first, in steps that leave the mark where it is; a run that fails
+    among them reads them again.
     """
     marks, runs = Watermarks(table.lake), []
-    while True:
-        batch = micro_batch(source, marks.current(table.short_name), table.key, rows)
-        runs.append(load_increment(table, batch, as_of, f"{run_id}_{len(runs) + 1}", **how))
-        if not runs[-1].rows_read:
-            return runs
+    before = marks.current(table.short_name)
+    if before is None and first_days is not None:
+        source = backfill_or_since(source, None, as_of, first_days)
+
+    def step(batch: DataFrame) -> Run:
+        runs.append(load_increment(table, batch, as_of, f"{run_id}_{len(runs) + 1}", lookback=lookback, **how))
+        return runs[-1]
+
+    if lookback is not None and before is not None and before.updated_at is not None:
+        late = late_rows(source, before, table.key, lookback, how.get("unique", False))
+        read_to = None
+        while (run := step(micro_batch(late, read_to, table.key, rows))).rows_read:
+            read_to = run.read_to
+        runs.pop()  # the step that found none
+    while step(micro_batch(source, marks.current(table.short_name), table.key, rows)).rows_read:
+        pass
+    return runs
 
 
 @dataclass(frozen=True)
