@@ -14,14 +14,16 @@ the set may have; else the set emits them as well, and if even its filled parts
 too few, each of its shingles. Similar sets always share one of these, so no link
 between them is lost.
 
-Signatures are shipped in packed blocks and sorted bucket by bucket. A shared
+Signatures are shipped in packed blocks and sorted bucket by bucket. Those that a sample
+shows in very many sets are dealt out by set instead, as plain rows that meet their
+signature's first set in a broadcast join, so no task gets all sets of one. A shared
 signature gives candidate pairs of its first set with each other one. Bitmaps of
 their shingles, two bytes a shingle, bound what two sets can share; pairs that pass
 are compared exactly on their shingle sets. Where a signature's sets do not all end in
 one component that way, its most widely shared set is compared with the others. What is
 still apart then is compared across components: pair by pair in small groups, and
 tile by tile of some hundred sets where many share a signature, as edited copies of
-one text do. Only components are wanted, so pairs inside one need no comparison.
+one text do; there the sets outside a group's largest component meet all of it. Only components are wanted, so pairs inside one need no comparison.
 """
 
 from __future__ import annotations
@@ -43,6 +45,9 @@ SIGNATURES_PER_BUCKET = 500_000
 BROADCAST_IDS = 1_000_000
 COMMON_SAMPLE = 16_000
 COMMON_SHARE = 0.0005
+HOT_SAMPLE = 4_000
+HOT_SETS = 4_000
+HOT_LEAST = 8
 TILE_SETS = 512
 LARGE_GROUP = 64
 
@@ -137,27 +142,52 @@ def _classes(docs: DataFrame, width: int) -> DataFrame:
     return hashed.mapInPandas(classify, "id long, text_hash long, size long, set long, other long")
 
 
-def _common(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that an estimated share of all documents has, from a bounded sample.
+def _sample(docs: DataFrame) -> DataFrame:
+    """The texts of a bounded sample of the documents."""
+    sample = docs.orderBy(F.xxhash64("id"), "id").select("id").limit(COMMON_SAMPLE)
+    return stored(docs.join(F.broadcast(sample.distinct()), "id").select("text"), "jaccard-sample")
+
+
+def _common(sample: DataFrame, width: int) -> np.ndarray:
+    """Shingles that an estimated share of all documents has.
 
     They only steer which parts count as telling; any list gives the same links.
     """
-    sample = docs.orderBy(F.xxhash64("id"), "id").select("id").limit(COMMON_SAMPLE)
-    rows = docs.join(F.broadcast(sample.distinct()), "id")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, sets in _blocks(batches, width):
             values, times = np.unique(np.concatenate(sets), return_counts=True)
             yield pd.DataFrame({"shingle": values.view(np.int64), "n": times})
 
-    counted = rows.mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = sample.mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     least = max(2, int(COMMON_SAMPLE * COMMON_SHARE))
     found = counted.where(F.col("n") >= least).select("shingle").toPandas()["shingle"].to_numpy(dtype=np.int64)
     return np.sort(found.view(np.uint64))
 
 
-def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common: np.ndarray) -> DataFrame:
-    """Rows a, b of candidate pairs, and rows with all members of a signature of three or more sets."""
+def _hot(sample: DataFrame, total: int, width: int, bands: Bands, common: np.ndarray) -> np.ndarray:
+    """Signatures that an estimated ``HOT_SETS`` of the ``total`` sets have, or so large a share of them that a sample tells.
+
+    They only steer how signatures are dealt out; any list gives the same candidates.
+    """
+    few = sample.select("text", F.xxhash64("text").alias("key")).dropDuplicates(["key"]).orderBy("key").limit(HOT_SAMPLE)
+    few = stored(few.repartition(int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").select("text"), "jaccard-hot-sample")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, sets in _blocks(batches, width):
+            each = [np.unique(signatures(s, bands, common)) for s in sets if len(s)]
+            if each:
+                values, times = np.unique(np.concatenate(each), return_counts=True)
+                yield pd.DataFrame({"name": values.view(np.int64), "n": times})
+
+    counted = few.mapInPandas(count, "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    least = max(HOT_LEAST, HOT_SETS * min(1.0, few.count() / max(1, total)))
+    found = counted.where(F.col("n") >= least).select("name").toPandas()["name"].to_numpy(dtype=np.int64)
+    return np.sort(found.view(np.uint64))
+
+
+def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """Rows of three kinds: candidate ``pair``s a, b; a group and its ``member`` of a signature of three or more sets; a ``hot`` signature and its set."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()
@@ -187,6 +217,12 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
             return
         name, owner = np.concatenate(names), np.concatenate(owners)
         bucket = (name >> _u(32)) * _u(buckets) >> _u(32)
+        if len(hot):
+            # Behind the other buckets, and dealt out by set: a signature's place in the list stands for it.
+            place = np.minimum(np.searchsorted(hot, name), len(hot) - 1)
+            is_hot = hot[place] == name
+            bucket = np.where(is_hot, _u(buckets) + ((mixed(owner) >> _u(32)) * _u(buckets) >> _u(32)), bucket)
+            name = np.where(is_hot, place.astype(np.uint64), name)
         order = np.argsort(bucket.astype(np.uint32), kind="stable")
         name, owner, bucket = name[order], owner[order], bucket[order]
         edges = np.flatnonzero(np.diff(bucket)) + 1
@@ -203,6 +239,9 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
     def meet(block: pd.DataFrame) -> pd.DataFrame:
         name = np.frombuffer(b"".join(block["names"]), dtype=np.uint32)
         owner = np.frombuffer(b"".join(block["owners"]), dtype=np.uint64)
+        if block["bucket"].iloc[0] >= buckets:
+            fresh = np.unique(np.stack([name.astype(np.uint64), owner], axis=1), axis=0)
+            return pd.DataFrame({"kind": "hot", "a": hot[fresh[:, 0].astype(np.int64)].view(np.int64), "b": fresh[:, 1].view(np.int64)})
         order = np.argsort(name, kind="stable")
         name, owner = name[order], owner[order]
         again = np.zeros(len(name), dtype=bool)
@@ -218,17 +257,47 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
         size = np.diff(np.append(start, len(name)))
         hub = np.repeat(owner[start], size) if len(name) else owner
         pairs = np.unique(np.stack([hub, owner], axis=1)[hub != owner], axis=0) if len(name) else np.zeros((0, 2), np.uint64)
-        groups = {owner[s : s + n].tobytes() for s, n in zip(start[size > 2], size[size > 2])}
+        group, member = _groups(owner, start, size)
         return pd.DataFrame(
             {
-                "a": pd.array(np.append(pairs[:, 0].view(np.int64), np.zeros(len(groups), np.int64))),
-                "b": pd.array(np.append(pairs[:, 1].view(np.int64), np.zeros(len(groups), np.int64))),
-                "members": [None] * len(pairs) + sorted(groups),
+                "kind": np.repeat(["pair", "member"], [len(pairs), len(member)]),
+                "a": np.append(pairs[:, 0], group).view(np.int64),
+                "b": np.append(pairs[:, 1], member).view(np.int64),
             }
         )
 
     packed = docs.mapInPandas(emit, "bucket long, names binary, owners binary")
-    return packed.groupBy("bucket").applyInPandas(meet, "a long, b long, members binary")
+    return packed.groupBy("bucket").applyInPandas(meet, "kind string, a long, b long")
+
+
+def _groups(owner: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Name and member of each different group of three or more sets; groups of one name are one."""
+    if not len(start):
+        return owner, owner
+    first = mixed(np.add.reduceat(mixed(owner + _u(31)), start) + size.astype(np.uint64))
+    second = np.add.reduceat(mixed(owner + _u(47)), start)
+    _, at = np.unique(np.stack([first, second], axis=1), axis=0, return_index=True)
+    at = at[size[at] > 2]
+    ends = np.cumsum(size[at])
+    rows = np.arange(ends[-1] if len(at) else 0) + np.repeat(start[at] - (ends - size[at]), size[at])
+    return np.repeat(first[at] ^ mixed(second[at]), size[at]), owner[rows.astype(np.int64)]
+
+
+def _met(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct candidate pairs, and the groups with their sets as group and node."""
+    hot = found.where("kind = 'hot'").select(F.col("a").alias("name"), F.col("b").alias("node"))
+    once = hot.groupBy("name").agg(
+        F.min("node").alias("hub"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    # Of hot signatures with the same sets one is enough; their list is bounded by the sample.
+    once = stored(once.where("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("name", "hub")).alias("one")).select("n", "one.*"), "jaccard-hot")
+    shared = hot.join(F.broadcast(once), "name")
+    pairs = found.where("kind = 'pair'").select("a", "b").union(
+        shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    )
+    members = found.where("kind = 'member'").select(F.col("a").alias("group"), F.col("b").alias("node")).distinct()
+    members = members.union(shared.where("n > 2").select("name", "node"))
+    return stored(pairs.distinct(), "jaccard-pairs"), stored(members, "jaccard-groups")
 
 
 def _slots(size: int) -> int:
@@ -352,36 +421,53 @@ def _pairs_across(groups: DataFrame) -> DataFrame:
     return sets.select("sets").distinct().mapInPandas(pair, "a long, b long").distinct()
 
 
+def _placed(groups: DataFrame) -> DataFrame:
+    """group, node, root, whether the node is outside the group's largest component, and the node's tile.
+
+    A set's home is its largest group; homes are cut into tiles by hash, the largest
+    component apart from the others.
+    """
+    parts = groups.groupBy("group", "root").agg(F.count("*").alias("n"))
+    major = parts.groupBy("group").agg(F.max(F.struct("n", "root")).alias("major"))
+    rooted = groups.join(major, "group").select("group", "node", "root", "members", (F.col("root") != F.col("major.root")).alias("minor"))
+    homes = rooted.groupBy("node").agg(F.max(F.struct("members", "group", "minor")).alias("home"))
+    homes = homes.select("node", F.struct("home.group", "home.minor").alias("home"))
+    counts = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE_SETS).alias("tiles"))
+    tile = F.xxhash64("home.group", "home.minor", F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile")
+    tiles = homes.join(counts, "home").select("node", tile)
+    return stored(rooted.join(tiles, "node").select("group", "node", "root", "minor", "tile"), "jaccard-placed")
+
+
+def _tile_pairs(placed: DataFrame) -> DataFrame:
+    """Tiles i and j to compare: in a group, those with sets outside its largest component meet all."""
+    met = placed.groupBy("group", "tile").agg(F.max("minor").alias("minor"))
+    what = (F.xxhash64("tile", "minor"), F.xxhash64("tile", "minor", F.lit(1)))
+    same = met.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(what[0]).alias("x"), F.bit_xor(what[1]).alias("y"))
+    met = stored(met.join(same.groupBy("n", "x", "y").agg(F.min("group").alias("group")).select("group"), "group"), "jaccard-met")
+    left, right = met.where("minor").select("group", F.col("tile").alias("x")), met.select("group", F.col("tile").alias("y"))
+    return left.join(right, "group").select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j")).distinct()
+
+
 def _close_in_tiles(docs: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs from different components of large groups that may be similar.
 
-    A set's home is its largest group; homes are cut into tiles by hash. Two tiles are
-    compared if a group has sets in both, each two once however many groups they share.
+    Two tiles are compared once, however many groups they share.
     """
-    homes = groups.groupBy("node").agg(F.max(F.struct("members", "group")).alias("home"), F.first("root").alias("root"))
-    homes = homes.select("node", "root", F.col("home.group").alias("home"))
-    counts = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE_SETS).alias("tiles"))
-    placed = stored(
-        homes.join(counts, "home").select("node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("tiles"))).alias("tile")),
-        "jaccard-placed",
-    )
-    contents = _sets(docs, classes, placed.select(F.col("node").alias("a"), F.col("node").alias("b")), width, False)
+    placed = _placed(groups)
+    nodes = placed.select("node", "root", "tile").distinct()
+    contents = _sets(docs, classes, nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), width, False)
     tiles = (
-        placed.join(contents.withColumnRenamed("set", "node"), "node")
+        nodes.join(contents.withColumnRenamed("set", "node"), "node")
         .groupBy("tile", F.length("content").alias("bytes"))
         .agg(F.collect_list(F.struct("node", "root", "size", "content")).alias("sets"))
     )
     tiles = stored(tiles, "jaccard-tiles")
-
-    met = groups.select("group", "node").join(placed.select("node", "tile"), "node").groupBy("group").agg(
-        F.sort_array(F.collect_set("tile")).alias("tiles")
-    ).select("tiles").distinct()
-    each = F.explode(F.flatten(F.transform("tiles", lambda x: F.transform(F.filter("tiles", lambda y: y >= x), lambda y: F.struct(x.alias("i"), y.alias("j"))))))
-    tile_pairs = met.select(each.alias("p")).select("p.i", "p.j").distinct()
+    tile_pairs = _tile_pairs(placed)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for left, right in zip(batch["left"], batch["right"]):
+                left, right = sorted((left, right), key=len)
                 bitmaps = np.frombuffer(b"".join(r["content"] for r in right), dtype=np.uint8).reshape(len(right), -1)
                 node, root, size = (np.array([r[k] for r in right], dtype=np.int64) for k in ("node", "root", "size"))
                 for x in left:
@@ -420,22 +506,16 @@ def near_duplicates(
     )
     total = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = max(int(total // SIGNATURES_PER_BUCKET) + 1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    found = stored(_candidates(docs.select("text"), width, bands, buckets, _common(docs, width)), "jaccard-candidates")
+    sample = _sample(docs)
+    common = _common(sample, width)
+    hot = _hot(sample, classes.count(), width, bands, common)
+    found = stored(_candidates(docs.select("text"), width, bands, buckets, common, hot), "jaccard-candidates")
 
-    pairs = stored(found.where("members IS NULL").select("a", "b").distinct(), "jaccard-pairs")
+    pairs, members = _met(found)
     links = _links(docs, classes, pairs, width, bands.percent)
     joined = components(links)
 
     # What a shared signature leaves in more than one component is compared across them.
-    @F.udf("array<long>")
-    def unpacked(members):
-        return np.frombuffer(members, dtype=np.int64).tolist()
-
-    members = stored(
-        found.where("members IS NOT NULL").select("members").distinct()
-        .select(F.xxhash64("members").alias("group"), F.explode(unpacked("members")).alias("node")),
-        "jaccard-groups",
-    )
     groups = _open_groups(members, joined)
     if not groups.isEmpty():
         # Of a group of edited copies the least edited one shares the most signatures.
