@@ -22,7 +22,12 @@ from pyspark.sql import functions as F
 # Element names by their part in the layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style head title template noscript iframe noembed noframes datalist svg math object audio video canvas".split())
+HIDDEN = frozenset("script style head title template noscript iframe noembed noframes datalist object audio video canvas".split())
+# Inside of drawings and formulas: what is not shown, and what is placed by itself.
+FOREIGN = frozenset("svg math".split())
+HIDDEN_INSIDE = frozenset("title desc defs metadata symbol annotation annotation-xml".split())
+# Elements inside of them that hold HTML again.
+HTML_AGAIN = frozenset("foreignobject title desc annotation-xml".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu dir".split())
 BLOCK = PARAGRAPH | frozenset(
     "address article aside body details dialog dd div dt figcaption footer form header hgroup html legend li main nav "
@@ -172,7 +177,7 @@ class _Table:
 class _Open:
     """An open element and what it changes in the layout until it is closed."""
 
-    __slots__ = ("name", "hidden", "pre", "count", "table", "flow", "span", "indented")
+    __slots__ = ("name", "hidden", "pre", "count", "table", "flow", "span", "indented", "foreign", "block")
 
     def __init__(self, name: str, hidden: str, pre: bool) -> None:
         self.name, self.hidden, self.pre = name, hidden, pre
@@ -181,6 +186,8 @@ class _Open:
         self.flow: _Flow | None = None
         self.span = (1, 1)
         self.indented = False
+        self.foreign = False
+        self.block = name in BLOCK
 
 
 class _Page:
@@ -198,7 +205,18 @@ class _Page:
             value = unescape(value)
         self.flow.verbatim(value) if top.pre else self.flow.text(value)
 
-    def start(self, name: str, attrs: dict[str, str]) -> None:
+    @property
+    def foreign(self) -> bool:
+        """Whether a drawing or formula is open, where other names hold."""
+        return self.stack[-1].foreign
+
+    def start(self, name: str, attrs: dict[str, str], ended: bool = False) -> None:
+        if self.foreign and name not in CLOSES_P or name in FOREIGN:
+            self._start_foreign(name, attrs, ended)
+            return
+        # HTML that an author left a drawing or formula open for ends it.
+        while self.foreign:
+            self._close_to(len(self.stack) - 1)
         if name in CLOSES_P and self._find({"p"}, SCOPE):
             self._close_to(self._find({"p"}, SCOPE))
         if name in IMPLIED:
@@ -212,12 +230,7 @@ class _Page:
         if self.stack[-1].name == "head" and name not in ("title", "meta", "link", "base", "style", "script", "noscript", "template", "head"):
             self._close_to(len(self.stack) - 1)
         above = self.stack[-1]
-        hidden = "none" if above.hidden == "none" or name in HIDDEN or "hidden" in attrs else above.hidden
-        style = attrs.get("style", "").replace(" ", "").lower() if attrs else ""
-        if "display:none" in style:
-            hidden = "none"
-        elif hidden != "none" and "visibility:" in style:
-            hidden = "" if "visibility:visible" in style else "text"
+        hidden = self._hidden(attrs, name in HIDDEN)
         if name == "br":
             if not hidden:
                 self.flow.end_line(True)
@@ -262,6 +275,29 @@ class _Page:
                 item.span = _number(attrs.get("colspan"), 1), _number(attrs.get("rowspan"), 1)
                 item.flow, self.flow = self.flow, _Flow()
 
+    def _hidden(self, attrs: dict[str, str], always: bool) -> str:
+        above = self.stack[-1].hidden
+        hidden = "none" if above == "none" or always or "hidden" in attrs else above
+        style = attrs.get("style", "").replace(" ", "").lower() if attrs else ""
+        if "display:none" in style:
+            hidden = "none"
+        elif hidden != "none" and "visibility:" in style:
+            hidden = "" if "visibility:visible" in style else "text"
+        return hidden
+
+    def _start_foreign(self, name: str, attrs: dict[str, str], ended: bool) -> None:
+        """An element of a drawing or formula; its end tags are never left out."""
+        if ended:
+            return
+        inside = self.foreign
+        hidden = self._hidden(attrs, inside and name in HIDDEN_INSIDE or name in ("script", "style"))
+        item = _Open(name, hidden, self.stack[-1].pre)
+        item.foreign = name not in HTML_AGAIN
+        item.block = inside and name in ("text", "foreignobject")
+        self.stack.append(item)
+        if item.block and hidden != "none":
+            self.flow.block(0)
+
     def end(self, name: str) -> None:
         if name == "br":
             self.start("br", {})
@@ -302,7 +338,7 @@ class _Page:
                         self.flow._put(line, False)
                     self.flow.end_line(True)
                 self.flow.block(1)
-            elif item.name in BLOCK:
+            elif item.block:
                 self.flow.block(1 if item.name in PARAGRAPH and not (item.name in LISTS and self._find({"li"}, {"table"})) else 0)
             if item.indented:
                 self.flow.indent.pop()
@@ -345,8 +381,9 @@ def visible_text(html: str | None) -> str:
         elif name := token["start"] or token["odd"]:
             name = name.lower()
             rest = token["attrs"] if token["start"] else token["rest"]
-            page.start(name, _attrs(rest) if rest and rest.strip(" /") else {})
-            if name in RAW:
+            foreign = page.foreign
+            page.start(name, _attrs(rest) if rest and rest.strip(" /") else {}, rest.rstrip().endswith("/"))
+            if name in RAW and not foreign:
                 close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, at)
                 stop = close.start() if close else end
                 page.text(html[at:stop])
@@ -360,7 +397,8 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """The pages with ``text`` instead of their HTML.
 
     Hidden elements and those without display are left out; scripts, styles, the head
-    and noscript parts too. A null or empty page has an empty text. Columns of a
+    and noscript parts too. Of inline SVG and MathML the labels and formulas are shown,
+    without titles, descriptions, definitions, metadata and annotations. A null or empty page has an empty text. Columns of a
     table are padded up to 100 characters, longer cells stand as they are. Repeated
     rows stay; other columns are kept, ``text`` replaces one of that name.
     """
