@@ -29,6 +29,8 @@ BLOCK_CHARS = 8_000_000
 BLOCK_TEXTS = 512
 FILTER_BITS = 22
 MATCH, MISMATCH, GAP = 2, -1, -1
+# Scripts written without spaces between words.
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Bopomofo Thai Lao Khmer Myanmar".split())
 
 _u = np.uint64
 
@@ -49,8 +51,9 @@ class Seeds:
 
 
 def plain_words(text: Column) -> Column:
-    """Lower-cased letters and digits, everything else a space."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
+    """Lower-cased letters and digits, everything else a space; characters of unspaced scripts stand alone."""
+    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
+    return F.regexp_replace(words, f"([{UNSPACED}])", " $1 ")
 
 
 def grams_of(words: np.ndarray, width: int) -> np.ndarray:
@@ -195,7 +198,7 @@ def find_leaks(
     """One row per document and test item found in it: doc_id, item_id, score, first_word, end_word, text_hash.
 
     ``benchmark`` has item_id and text. Words are runs of letters and digits,
-    lower-cased; the score is the best local alignment's, as a share of the item's
+    lower-cased, and single characters in scripts without spaces; the score is the best local alignment's, as a share of the item's
     score with itself, and at least ``how.least``.
 
     Null or empty texts and items hold nothing and match nothing. An item shorter
