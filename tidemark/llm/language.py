@@ -33,9 +33,10 @@ PIECE = 1 << 18
 
 def _grams(data: np.ndarray, n: int) -> np.ndarray:
     """The last ``n`` bytes at each place as one number, from the first place that has so many."""
-    out = np.zeros(max(0, len(data) - n + 1), dtype=np.uint64)
+    places = max(0, len(data) - n + 1)
+    out = np.zeros(places, dtype=np.uint64)
     for k in range(n):
-        out = (out << np.uint64(8)) | data[k : len(data) - n + 1 + k]
+        out = (out << np.uint64(8)) | data[k : k + places]
     return out
 
 
