@@ -14,6 +14,7 @@ from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.periodic_runs import find_runs, longest_run, looped, runs_digest
 from tidemark.llm.pivot_search import top_k_products
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity
@@ -81,6 +82,23 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k_products(table(spark, folder, "embeddings"))
 
 
+def run_columns(found: DataFrame) -> DataFrame:
+    """The number of runs, the longest run and the hashes of the contract."""
+    ranked = found.withColumn("__top", longest_run(F.col("runs")))
+    top = [F.col(f"__top.{name}").alias(name) for name in ("start", "length", "period")]
+    milli = F.floor(F.lit(1000) * F.col("__top.length") / F.col("__top.period")).alias("exponent_milli")
+    return ranked.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *top, milli, runs_digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return run_columns(find_runs(docs.withColumn("text", looped(F.col("doc_id"), F.col("text")))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -92,4 +110,5 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_exact_top_k": op10_exact_top_k,
+    "op13_periodic_runs": op13_periodic_runs,
 }
