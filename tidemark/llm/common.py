@@ -37,14 +37,14 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written once to the shared folder and read back.
+def stored(df: DataFrame, purpose: str, settings: dict[str, str] = ARROW_ROWS) -> DataFrame:
+    """The rows written once to the shared folder, under session settings, and read back.
 
     It cuts lineage: a lost executor costs a read, not a recomputation.
     """
     spark = df.sparkSession
     path = scratch(spark, purpose)
-    with session_conf(spark, ARROW_ROWS):
+    with session_conf(spark, settings):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -96,9 +96,62 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 5
 """
 
+OP11 = r"""
+WITH RECURSIVE numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, label, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT * FROM numbered
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN v IF x <> 0]) > 0
+), links AS MATERIALIZED (
+  SELECT a.n AS a, b.n AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.n <> b.n AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(n, m) AS (
+  SELECT n, n FROM numbered
+  UNION
+  SELECT reach.n, links.b FROM reach JOIN links ON reach.m = links.a
+), least AS (
+  SELECT reach.n, min(other.vec_id) AS component_id FROM reach JOIN numbered other ON reach.m = other.n GROUP BY reach.n
+), degrees AS (
+  SELECT a AS n, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM numbered JOIN least USING (n) LEFT JOIN degrees USING (n)
+"""
+
+OP12 = r"""
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+), parts AS (
+  SELECT n, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), products AS (
+  SELECT q.n AS anchor, c.n AS other, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.n <> c.n
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL
+), scored AS (
+  SELECT anchor, other, a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, score
+  FROM products JOIN usable a ON anchor = a.n JOIN usable o ON other = o.n
+), positives AS (
+  SELECT anchor, other, anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, other) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY score DESC, vec_id, s.other)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same
+WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op7_mixing": OP7,
     "op9_url_filters": OP9,
     "op10_exact_top_k": OP10,
+    "op11_embedding_near_dedup": OP11,
+    "op12_hard_negatives": OP12,
 }

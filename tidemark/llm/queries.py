@@ -13,7 +13,9 @@ from tidemark.llm.html_text import extract_text
 from tidemark.llm.jaccard import near_duplicates
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.metric_join import near_vectors
 from tidemark.llm.mixing import mix
+from tidemark.llm.multi_index import hard_negatives
 from tidemark.llm.periodic_runs import find_runs, longest_run, looped, runs_digest
 from tidemark.llm.pivot_search import top_k_products
 from tidemark.llm.suffix_dedup import remove_repeats
@@ -82,6 +84,20 @@ def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k_products(table(spark, folder, "embeddings"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
+def relabelled(vectors: DataFrame) -> DataFrame:
+    """The next of ten labels where the id is divisible by 7."""
+    other = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return vectors.withColumn("label", other)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(relabelled(table(spark, folder, "embeddings")))
+
+
 def run_columns(found: DataFrame) -> DataFrame:
     """The number of runs, the longest run and the hashes of the contract."""
     ranked = found.withColumn("__top", longest_run(F.col("runs")))
@@ -110,5 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
