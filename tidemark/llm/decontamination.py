@@ -19,18 +19,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.hashing import chained, offsets, word_hashes
+from tidemark.llm.hashing import chained, offsets
+from tidemark.llm.plain_words import plain_word_hashes
 
 BLOCK_CHARS = 8_000_000
 BLOCK_TEXTS = 512
 FILTER_BITS = 22
 MATCH, MISMATCH, GAP = 2, -1, -1
-# Scripts written without spaces between words.
-UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Bopomofo Thai Lao Khmer Myanmar".split())
 
 _u = np.uint64
 
@@ -40,22 +39,18 @@ class Seeds:
     """n-grams of ``width`` words, what makes one commonplace, and the least share to report.
 
     Commonplace is one in over ``common`` documents, and in over ``times`` as many as
-    the median of its ``near`` neighbours on either side.
+    the median of its ``near`` neighbours on either side. An item of fewer than
+    ``short`` words is untestable if over ``common`` documents hold each of its n-grams.
     """
 
     width: int = 3
     near: int = 4
     times: int = 10
     common: int = 20
+    short: int = 6
     least: float = 0.5
 
 
-def plain_words(text: Column) -> Column:
-    """Lower-cased letters and digits, everything else a space; characters of unspaced scripts stand alone."""
-    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
-    return F.regexp_replace(words, f"([{UNSPACED}])", " $1 ")
-
-
 def grams_of(words: np.ndarray, width: int) -> np.ndarray:
     """All n-grams; a shorter text is one gram as a whole."""
     return chained(words, min(width, len(words))) if len(words) else words
@@ -142,7 +137,7 @@ def find_items(
 
     ``seed`` holds indexes into the items' n-grams, sorted by their hash.
     """
-    words, counts = word_hashes(texts)
+    words, counts = plain_word_hashes(texts)
     at = offsets(counts)
     text_of = np.repeat(np.arange(len(texts)), counts)
     spots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -181,57 +176,92 @@ def find_items(
 
 
 def choose_seeds(items: Items, frequency: np.ndarray, how: Seeds) -> np.ndarray:
-    """Indexes of the items' n-grams that are not commonplace, sorted by n-gram."""
-    seed = np.ones(len(items.gram), dtype=bool)
-    for i in np.unique(items.item[frequency > how.common]):
-        own = np.flatnonzero(items.item == i)
-        for k in np.flatnonzero(frequency[own] > how.common):
-            around = frequency[own[max(0, k - how.near) : k + how.near + 1]]
-            seed[own[k]] = frequency[own[k]] <= how.times * max(1.0, float(np.median(around)))
+    """Indexes of the items' n-grams that are seeds, sorted by n-gram.
+
+    No seeds are the commonplace n-grams, and all those of untestable items.
+    """
+    seed = ~untestable(items, frequency, how)[items.item]
+    start = np.searchsorted(items.item, np.arange(len(items.words) + 1))
+    for k in np.flatnonzero(seed & (frequency > how.common)):
+        low, high = start[items.item[k]], start[items.item[k] + 1]
+        around = frequency[max(low, k - how.near) : min(high, k + how.near + 1)]
+        seed[k] = frequency[k] <= how.times * max(1.0, float(np.median(around)))
     seeds = np.flatnonzero(seed)
     return seeds[np.argsort(items.gram[seeds], kind="stable")]
 
 
+def untestable(items: Items, frequency: np.ndarray, how: Seeds) -> np.ndarray:
+    """Which items are too short and commonplace for a match to mean a leak."""
+    rarest = np.full(len(items.words), np.iinfo(np.int64).max)
+    np.minimum.at(rarest, items.item, frequency)
+    return (np.array([len(w) for w in items.words], dtype=np.int64) < how.short) & (rarest > how.common)
+
+
+def _blocks_of(benchmark: DataFrame, width: int) -> Iterator[Items]:
+    """The test items in blocks of bounded size, each read by the driver in turn."""
+    tests = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    chars = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    blocks = int(chars // BLOCK_CHARS) + 1
+    tests = stored(tests.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "leak-items")
+    for block in range(blocks):
+        rows = sorted(
+            ((r["item_id"], r["text"]) for r in tests.where(F.col("block") == block).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])
+        )
+        words, counts = plain_word_hashes([text for _, text in rows])
+        yield Items([i for i, _ in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], width)
+
+
+def _texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, how: Seeds = Seeds(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document and test item found in it: doc_id, item_id, score, first_word, end_word, text_hash.
 
     ``benchmark`` has item_id and text. Words are runs of letters and digits,
-    lower-cased, and single characters in scripts without spaces; the score is the best local alignment's, as a share of the item's
-    score with itself, and at least ``how.least``.
+    lower-cased, and single characters in scripts without spaces; the score is the best
+    local alignment's, as a share of the item's score with itself, and at least
+    ``how.least``.
 
     Null or empty texts and items hold nothing and match nothing. An item shorter
-    than a seed is one seed as a whole. Repeated rows give repeated results; a null
-    id stays null. Items that occur twice are found twice. Without documents or items
-    there are no rows. Other columns are ignored, whatever their names.
+    than a seed is one seed as a whole; one that ``untestable_items`` names is not
+    looked for. Repeated rows give repeated results; a null id stays null. Items that
+    occur twice are found twice. Without documents or items there are no rows. Other
+    columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), plain_words(F.col(text_col)).alias("text"))
-    tests = benchmark.select("item_id", plain_words(F.col("text")).alias("text"))
-    chars = tests.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = int(chars // BLOCK_CHARS) + 1
-    tests = stored(tests.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "leak-items")
+    texts = _texts_of(docs, id_col, text_col)
     result = None
-    for block in range(blocks):
-        rows = sorted(
-            ((r["item_id"], r["text"]) for r in tests.where(F.col("block") == block).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])
-        )
-        words, counts = word_hashes([text for _, text in rows])
-        items = Items([i for i, _ in rows], np.split(words, np.cumsum(counts)[:-1]) if rows else [], how.width)
-        part = _leaks_of(texts, spark.sparkContext.broadcast(items), items, how)
+    for items in _blocks_of(benchmark, how.width):
+        part = _leaks_of(texts, docs.sparkSession.sparkContext.broadcast(items), items, how)
         result = part if result is None else result.union(part)
     return result.select(F.col("id").alias(id_col), "item_id", "score", "first_word", "end_word", "text_hash")
 
 
-def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
+def untestable_items(
+    docs: DataFrame, benchmark: DataFrame, how: Seeds = Seeds(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """item_id of the test items that are too short and commonplace to be looked for."""
+    spark = docs.sparkSession
+    found = spark.createDataFrame([], "item_id long")
+    for items in _blocks_of(benchmark, how.width):
+        frequency = _frequency(_texts_of(docs, id_col, text_col), spark.sparkContext.broadcast(items), items)
+        names = [(items.ids[i],) for i in np.flatnonzero(untestable(items, frequency, how))]
+        found = found.union(spark.createDataFrame(names, "item_id long"))
+    return found
+
+
+def _frequency(texts: DataFrame, shared, items: Items) -> np.ndarray:
+    """For each of the items' n-grams, in how many documents it occurs."""
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         lookup = _Lookup(known.gram)
         total = np.zeros(len(lookup.wanted), dtype=np.int64)
         for batch in batches:
             for at in range(0, len(batch), BLOCK_TEXTS):
-                words, counts = word_hashes(batch["text"].iloc[at : at + BLOCK_TEXTS].tolist())
+                words, counts = plain_word_hashes(batch["text"].iloc[at : at + BLOCK_TEXTS].tolist())
                 text = np.repeat(np.arange(len(counts)), counts)
                 for width in known.widths():
                     found, which = lookup.find(chained(words, width))
@@ -246,7 +276,11 @@ def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
     frequency = np.zeros(len(distinct), dtype=np.int64)
     for row in counted:
         frequency[row["gram"]] = row["n"]
-    chosen = choose_seeds(items, frequency[where], how)
+    return frequency[where]
+
+
+def _leaks_of(texts: DataFrame, shared, items: Items, how: Seeds) -> DataFrame:
+    chosen = choose_seeds(items, _frequency(texts, shared, items), how)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
