@@ -194,7 +194,8 @@ def untestable(items: Items, frequency: np.ndarray, how: Seeds) -> np.ndarray:
     """Which items are too short and commonplace for a match to mean a leak."""
     rarest = np.full(len(items.words), np.iinfo(np.int64).max)
     np.minimum.at(rarest, items.item, frequency)
-    return (np.array([len(w) for w in items.words], dtype=np.int64) < how.short) & (rarest > how.common)
+    size = np.array([len(w) for w in items.words], dtype=np.int64)
+    return (size > 0) & (size < how.short) & (rarest > how.common)
 
 
 def _blocks_of(benchmark: DataFrame, width: int) -> Iterator[Items]:
@@ -242,7 +243,7 @@ def find_leaks(
 def untestable_items(
     docs: DataFrame, benchmark: DataFrame, how: Seeds = Seeds(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """item_id of the test items that are too short and commonplace to be looked for."""
+    """item_id of the test items that are too short and commonplace to be looked for; those without words are none."""
     spark = docs.sparkSession
     found = spark.createDataFrame([], "item_id long")
     for items in _blocks_of(benchmark, how.width):
