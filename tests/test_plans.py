@@ -43,12 +43,21 @@ def test_orders_are_reduced_before_they_meet_customers(spark):
     assert "partial_sum" in text[join:] and text[:join].count("Exchange") == 1
 
 
-@pytest.mark.parametrize("name", ["top_products", "top5_products", "top5_customers", "inc_micro_batch"])
+@pytest.mark.parametrize("name", ["top_products", "top5_products", "top5_customers"])
 def test_top_rows_need_no_full_sort(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "TakeOrderedAndProject" in text
 
 
+def test_micro_batch_is_a_filter(spark):
+    """The cut is known by counting, so neither a sort nor a limit is left."""
+    orders = tables.order_rows(spark, FOLDER)
+    text = details(increments.micro_batch(orders, Mark("1999-12-31 00:00:00", 5), "order_id", 20))
+    assert "TakeOrdered" not in text and "Sort" not in text and "Exchange" not in text
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "LessThan(o_orderdate" in pushed
+
+
 def test_top_per_group_limits_before_the_shuffle(spark):
     orders = tables.order_rows(spark, FOLDER)
     text = plan(ranking.top_per_group(orders, "product_name", [F.desc("price")], 5))

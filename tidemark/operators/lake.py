@@ -6,6 +6,7 @@ match are appended, and partitions that hold matches are computed anew into a
 staging table in the shared folder, then swapped in by a dynamic partition
 overwrite. The batch itself stays registered until all is done: a run that dies is
 finished by the next one, which completes its swap and merges its batch once more.
+A locator of keys, kept with the merges, tells which partitions hold matches.
 There must be one writer per table; readers may see a swap half done.
 """
 
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StructField
 
 from tidemark.functions.columns import PARTITION_COLUMNS, partition_key
-from tidemark.operators.increments import Summary, summarize
+from tidemark.operators.increments import Summary, observed, summarize
+from tidemark.operators.locator import KeyLocator
 from tidemark.operators.merge import latest_per_key, without_stale
 from tidemark.operators.ranking import latest_rows
 from tidemark.session import few_listing_tasks, session_conf, shared_dir
@@ -36,6 +38,9 @@ SHUFFLED_BYTES_PER_FILE = 2 * TARGET_FILE_BYTES
 # Integer keys up to this number make a hash table of less than 100 MB.
 BROADCAST_KEYS = 2_000_000
 
+# More folders than this are listed by the folders above them.
+LISTED_FOLDERS = 32
+
 DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
@@ -83,6 +88,7 @@ class LakeTable:
         self.name = f"`{lake.database}`.`{self.short_name}`"
         self.manifest = f"`{lake.database}`.`manifest_{self.short_name}`"
         self.key = key
+        self.locator = KeyLocator(lake.spark, lake.database, self.short_name, key)
 
     # Reading
 
@@ -138,6 +144,7 @@ class LakeTable:
         """
         if not self.is_empty():
             raise ValueError(f"{self.name} has rows already")
+        self.locator.drop()
         if self.exists():
             self._add_columns(df)
         else:
@@ -146,8 +153,10 @@ class LakeTable:
                 f"CREATE TABLE {self.name} ({columns}) USING parquet "
                 f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)})"
             )
-        self._insert(df, overwrite=True)
-        summary = summarize(self.read(), self.key, unique)
+        if unique:
+            return self._insert(df, overwrite=True)
+        self._insert(df, overwrite=True, look=False)
+        summary = summarize(self.read(), self.key)
         if summary.repeated:
             self._reduce_repeated()
         return summary
@@ -174,6 +183,7 @@ class LakeTable:
             self.create(df, unique)
             return
         self.finish_interrupted()
+        self.locator.drop()
         self._add_columns(df)
         rows = df if unique else latest_per_key(df, self.key)
         self._replace(rows, _numbers(self.partitions().collect()))
@@ -184,16 +194,18 @@ class LakeTable:
         max_files: int = 10,
         target_bytes: int = TARGET_FILE_BYTES,
         within: Collection[int] | None = None,
+        files: DataFrame | None = None,
     ) -> int:
         """Merge small files when there are more than ``max_files`` files.
 
         Only partitions whose files are well below the target size are rewritten.
         With ``within`` only the numbered partitions are looked at, so that the work
-        after a batch follows the batch. Returns how many were rewritten.
+        after a batch follows the batch; ``files`` is their listing, if it is known.
+        Returns how many were rewritten.
         """
+        files = self.list_files(within) if files is None else files
         sizes = (
-            self._files(within)
-            .groupBy("number")
+            files.groupBy("number")
             .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
             .collect()
         )
@@ -207,33 +219,46 @@ class LakeTable:
         return len(crowded)
 
     @_listing_tuned
-    def write_manifest(self, within: Collection[int] | None = None) -> str:
-        """List the table's data files as text, a folder per partition.
+    def write_manifest(self, within: Collection[int] | None = None, files: DataFrame | None = None) -> str:
+        """List the table's data files as text, a folder per month.
 
-        With ``within`` only the lists of the numbered partitions are replaced, or
-        dropped for those that are gone. Returns the folder.
+        With ``within`` only the lines of the numbered partitions are replaced, or
+        dropped for those that are gone; ``files`` is their listing, if it is known.
+        Returns the folder.
         """
         if not self.spark.catalog.tableExists(self.manifest):
-            within = None
+            within, files = None, None if within is not None else files
             self.spark.sql(
-                f"CREATE TABLE {self.manifest} (path STRING, number INT) USING text "
-                "PARTITIONED BY (number)"
-            )
-        listed = set(
-            _numbers(
-                self.spark.sql(f"SHOW PARTITIONS {self.manifest}")
-                .select(F.expr("CAST(split_part(partition, '=', 2) AS INT)").alias("number"))
-                .collect()
+                f"CREATE TABLE {self.manifest} (path STRING, month INT) USING text "
+                "PARTITIONED BY (month)"
             )
+        files = self.list_files(within) if files is None else files
+        month = F.expr("number DIV 100").cast("int").alias("month")
+        lines = files.select("path", month)
+        listed = self.spark.sql(f"SHOW PARTITIONS {self.manifest}").select(
+            F.expr("CAST(split_part(partition, '=', 2) AS INT)").alias("month")
         )
-        live = set(_numbers(self.partitions().collect()))
-        gone = (listed if within is None else listed & set(within)) - live
+        months = {r["month"] for r in listed.collect()}
+        staged = None
+        if within is not None:
+            months &= {n // 100 for n in within}
+            known = self.spark.table(self.manifest).where(F.col("month").isin(sorted(months)))
+            kept = (
+                known.withColumn("number", _number_in("path"))
+                .join(self._numbered(within), "number", "left_anti")
+                .select("path", "month")
+            )
+            # The lines that stay are read from what is about to be replaced.
+            staged = uuid.uuid4().hex
+            lines = self.spark.table(self._stage("lines", kept.union(lines), staged))
         with session_conf(self.spark, DYNAMIC_OVERWRITE):
-            paths = self._files(within).select("path", "number").repartition("number")
-            paths.write.insertInto(self.manifest, overwrite=True)
+            lines.repartition("month").write.insertInto(self.manifest, overwrite=True)
+        gone = months - {r["month"] for r in lines.select("month").distinct().collect()} if months else set()
         if gone:
-            specs = ", ".join(f"PARTITION (number = {n})" for n in sorted(gone))
+            specs = ", ".join(f"PARTITION (month = {m})" for m in sorted(gone))
             self.spark.sql(f"ALTER TABLE {self.manifest} DROP IF EXISTS {specs}")
+        if staged:
+            self._drop_staged("lines", staged)
         return f"{self.lake.location}/manifest_{self.short_name}"
 
     def finish_interrupted(self) -> None:
@@ -242,7 +267,7 @@ class LakeTable:
         Its swap is done first, if it was ready. Merging its batch again finds the rows
         that it had already added by their keys, so none is there twice.
         """
-        runs = {kind: self._staged(kind) for kind in ("plan", "rows", "merge", "batch")}
+        runs = {kind: self._staged(kind) for kind in ("plan", "rows", "merge", "batch", "lines")}
         for run in runs["plan"]:
             self._publish(run)
         for run in runs["rows"]:
@@ -251,25 +276,34 @@ class LakeTable:
         for run in runs["merge"]:
             if run in runs["batch"]:
                 rows = self.spark.table(self._staged_name("batch", run))
-                self._merge(rows, summarize(rows, self.key, unique=True))
+                self._merge(rows, replace(summarize(rows, self.key, unique=True), staged=run))
             self._drop_staged("merge", run)
-        for run in runs["batch"]:
-            self._drop_staged("batch", run)
+        for kind in ("batch", "lines"):
+            for run in runs[kind]:
+                self._drop_staged(kind, run)
 
-    def _files(self, within: Collection[int] | None = None) -> DataFrame:
-        """The table's files; folders that are no partition of it do not count."""
+    def list_files(self, within: Collection[int] | None = None) -> DataFrame:
+        """The table's files; folders that are no partition of it do not count.
+
+        With ``within`` those of the numbered partitions. The folders are listed when
+        this is called, and not again when the result is used.
+        """
         known = self.partitions()
         if within is None:
             files = list_partition_files(self.spark, self.location)
         else:
-            inside = known.where(F.col("number").isin(sorted(within))).collect()
-            if not inside:
+            known = known.join(self._numbered(within), "number", "left_semi")
+            folders = [r["partition"] for r in known.collect()]
+            if not folders:
                 return self.spark.createDataFrame([], "path STRING, length BIGINT, number INT")
-            files = list_partition_files(self.spark, self.location, [r["partition"] for r in inside])
+            files = list_partition_files(self.spark, self.location, _few_folders(folders))
         return files.withColumn("number", partition_key()).join(
-            known.select("number"), "number", "left_semi"
+            F.broadcast(known.select("number")), "number", "left_semi"
         )
 
+    def _numbered(self, numbers: Collection[int]) -> DataFrame:
+        return F.broadcast(self.spark.createDataFrame([(n,) for n in sorted(numbers)], "number INT"))
+
     # Steps of a merge
 
     def _merge_staged(self, batch: DataFrame, only_newer: bool, unique: bool) -> Summary:
@@ -280,8 +314,11 @@ class LakeTable:
             runs.append(uuid.uuid4().hex)
             return self.spark.table(self._stage("batch", df, runs[-1]))
 
-        rows = staged(batch)
-        summary = summarize(rows, self.key, unique)
+        watched, look = observed(batch, self.key)
+        rows = staged(watched)
+        summary = look()
+        if summary is None or not unique:
+            summary = summarize(rows, self.key, unique)
         if summary.repeated:
             rows = staged(latest_per_key(rows, self.key))
         if summary.rows and only_newer:
@@ -290,8 +327,10 @@ class LakeTable:
         if summary.rows:
             # From here on a run that dies is merged again by the next one.
             self._stage("merge", self.spark.createDataFrame([(summary.rows,)], "rows BIGINT"), runs[-1])
+            summary = replace(summary, staged=runs[-1])
             summary = replace(summary, touched=self._merge(rows, summary))
             self._drop_staged("merge", runs[-1])
+            self.locator.settle()
         for run in runs:
             self._drop_staged("batch", run)
         return summary
@@ -306,37 +345,35 @@ class LakeTable:
         self._add_columns(rows)
         target = set(_numbers(rows.select(partition_key().alias("number")).distinct().collect()))
         known = set(_numbers(self.partitions().collect()))
-        held = self._partitions_holding(rows, summary)
+        held = self._partitions_holding(rows, summary) & known
         # The dearest step comes first: nothing has changed if it fails.
-        run = None
+        swap = None
         if held:
             inside = _in_partitions(held)
             kept = self.read().where(inside).join(self._keys(rows, summary), self.key, "left_anti")
             content = kept.unionByName(rows.where(inside), allowMissingColumns=True)
-            run = self._stage_replacement(content, held)
+            swap = self._stage_replacement(content, held)
+        self.locator.add(rows.select(self.key, partition_key().alias("number")), summary.staged)
         # Overwriting new partitions clears what a run that died may have left there.
         if new := target - known:
-            self._insert(rows.where(_in_partitions(new)), overwrite=True)
+            self._insert(rows.where(_in_partitions(new)), overwrite=True, look=False)
         if grown := (target & known) - held:
-            self._insert(rows.where(_in_partitions(grown)), overwrite=False)
-        if run:
-            self._publish(run)
+            self._insert(rows.where(_in_partitions(grown)), overwrite=False, look=False)
+        if swap:
+            self._publish(swap)
         return frozenset(target | held)
 
     def _partitions_holding(self, rows: DataFrame, summary: Summary) -> set[int]:
-        """Numbers of the partitions with a row that the batch replaces.
+        """Numbers of the partitions that may have a row that the batch replaces.
 
-        Reads keys only, and the key range of the batch prunes row groups. The
-        result is at most one number per partition.
+        Only the locator is read, once it is there. The result is at most one number
+        per partition.
         """
-        near = F.col(self.key).between(summary.low_key, summary.high_key)
-        found = (
-            self.read()
-            .where(near)
-            .select(self.key, partition_key().alias("number"))
-            .join(self._keys(rows, summary), self.key, "left_semi")
-            .select("number")
-            .distinct()
+        if not self.locator.exists():
+            entries = self.read().select(self.key, partition_key().alias("number"))
+            self.locator.build(entries, self.count())
+        found = self.locator.holding(
+            self._keys(rows, summary), summary.rows, summary.low_key, summary.high_key, summary.staged
         )
         return set(_numbers(found.collect()))
 
@@ -350,10 +387,21 @@ class LakeTable:
         fixed = isinstance(keys.schema[0].dataType, IntegralType)
         return F.broadcast(keys) if fixed and summary.rows <= BROADCAST_KEYS else keys
 
-    def _insert(self, rows: DataFrame, overwrite: bool) -> None:
-        """Add rows; with ``overwrite`` the partitions they fall in are replaced."""
+    def _insert(self, rows: DataFrame, overwrite: bool, look: bool = True) -> Summary | None:
+        """Add rows; with ``overwrite`` the partitions they fall in are replaced.
+
+        With ``look`` the write itself tells their size, key range and mark, for keys
+        that do not repeat.
+        """
+        ordered = self._in_table_order(_by_partition(rows))
+        seen = None
+        if look:
+            ordered, seen = observed(ordered, self.key)
         with session_conf(rows.sparkSession, _layout_settings() | DYNAMIC_OVERWRITE):
-            self._in_table_order(_by_partition(rows)).write.insertInto(self.name, overwrite)
+            ordered.write.insertInto(self.name, overwrite)
+        if look:
+            return seen() or summarize(self.read(), self.key, unique=True)
+        return None
 
     def _replace(self, content: DataFrame, numbers: Iterable[int]) -> None:
         """Make ``content`` the only rows of the numbered partitions."""
@@ -459,6 +507,20 @@ def _column_ddl(field: StructField) -> str:
     return f"`{field.name}` {field.dataType.simpleString()}"
 
 
+def _number_in(path: str) -> Column:
+    """The ``yyyymmdd`` number of the partition that a file's path names."""
+    year, month, day = (F.expr(f"try_cast(regexp_extract({path}, '/{c}=([^/]+)/', 1) AS INT)") for c in PARTITION_COLUMNS)
+    return F.coalesce(year * 10000 + month * 100 + day, F.lit(0))
+
+
+def _few_folders(folders: list[str]) -> list[str] | None:
+    """Folders to list for these partitions: themselves, their months, or all there are."""
+    if len(folders) <= LISTED_FOLDERS:
+        return folders
+    months = sorted({f.rsplit("/", 1)[0] for f in folders})
+    return months if len(months) <= LISTED_FOLDERS else None
+
+
 def _in_partitions(numbers: Iterable[int]) -> Column:
     return partition_key().isin(sorted(numbers))
 

@@ -71,8 +71,10 @@ def load_increment(
     if not done.rows:
         return Run(table.short_name, 0)
     final_count, latest = table.count() if verify else None, table.latest()
-    table.compact(max_files, within=done.touched)
-    manifest = table.write_manifest(done.touched)
+    files = table.list_files(done.touched)
+    if table.compact(max_files, within=done.touched, files=files):
+        files = None
+    manifest = table.write_manifest(done.touched, files)
     mark = done.mark.after(before)
     marks.commit(table.short_name, mark, run_id)
     return Run(table.short_name, done.rows, mark, final_count, latest, manifest, done.mark)
