@@ -1,3 +1,4 @@
+import threading
 from decimal import Decimal
 
 import data
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.increments import Mark
 from tidemark.operators.lake import LakeTable
 from tidemark.operators.watermarks import Watermarks
+from tidemark.plans import incremental
 from tidemark.plans.incremental import load_all, load_increment
 from tidemark.sources.files import list_files
 from tidemark.streaming.landing import load_landed_files
@@ -145,3 +147,31 @@ def test_landed_files_are_read_once(spark, lake, tmp_path):
         (1, Decimal("10.00"), "orders_0"),
         (2, Decimal("7.00"), "orders_1"),
     ]
+
+
+def test_all_tables_load_at_once(spark, lake, monkeypatch):
+    """Each load waits for the other one, in a session and pool of its own; settings stay apart."""
+    orders, people = lake.table("orders", "order_id"), lake.table("customers", "customer_id")
+    sold = data.orders(spark, data.order(1, "2025-01-15"))
+    known = data.customers(spark, (1, "ann", "2025-01-01", "2025-01-01"))
+    meet, seen = threading.Barrier(2, timeout=60), {}
+
+    def load(table, source, *args, **kwargs):
+        meet.wait()
+        pool = table.spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        seen[table.short_name] = table.spark, source.sparkSession, pool
+        table.spark.conf.set("spark.sql.shuffle.partitions", str(len(seen)))
+        return load_increment(table, source, *args, **kwargs)
+
+    monkeypatch.setattr(incremental, "load_increment", load)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    done = load_all([(orders, sold), (people, known)], NOW, "run_1")
+    assert not done.errors and {n: r.rows_read for n, r in done.runs.items()} == {"orders": 1, "customers": 1}
+    assert {n: pool for n, (_, _, pool) in seen.items()} == {"orders": "load_orders", "customers": "load_customers"}
+    assert len({id(s) for s, _, _ in seen.values()} | {id(spark)}) == 3
+    assert all(s._jsparkSession.equals(t._jsparkSession) for s, t, _ in seen.values())
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    assert orders.read().count() == people.read().count() == 1
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("moved_")]

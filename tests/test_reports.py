@@ -1,3 +1,5 @@
+import pytest
+import random
 from decimal import Decimal
 
 import data
@@ -74,3 +76,28 @@ def test_month_of_one_year(spark):
     parts = sold.selectExpr("*", "year(updated_at) AS year", "month(updated_at) AS month")
     found = reports.monthly_revenue(parts, 2025).collect()
     assert [(r.year, r.month, r.monthly_revenue) for r in found] == [(2025, 2, Decimal("3.50"))]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "smallint", "string"])
+def test_distinct_customers_by_bitmaps(spark, kind):
+    """Ids on both sides of zero and of the ranges' ends, nulls, and months without a customer."""
+    draw = random.Random(4)
+    ids = [None, 0, 1, -1, 32767, -32767, -32768] + ([32768, 32769, 65536, 65537, -65536, 10**9] if kind != "smallint" else [])
+    rows = [(i, draw.choice(ids), draw.randrange(1, 4), draw.choice([None, 1.5, 2.0]), draw.randrange(1, 13)) for i in range(800)]
+    rows += [(900, None, 1, 1.0, 13)]
+    orders = spark.createDataFrame(rows, "order_id int, customer_id bigint, quantity int, price double, m int").selectExpr(
+        "order_id", f"CAST(customer_id AS {kind}) AS customer_id", "quantity", "CAST(price AS DECIMAL(10,2)) AS price",
+        "add_months(DATE '2024-12-05', m) AS order_date",
+    ).repartition(5)
+    got = {(r["year"], r["month"]): (r["total_orders"], r["unique_customers"], r["total_revenue"]) for r in reports.monthly_sales_trend(orders).collect()}
+    want = {}
+    for _, customer, quantity, price, m in rows:
+        at = (2024 + (m + 11) // 12, (m + 11) % 12 + 1)
+        n, who, total = want.get(at, (0, set(), None))
+        value = None if price is None else quantity * price
+        want[at] = (n + 1, who | ({customer} - {None}), value if total is None else total if value is None else total + value)
+    assert got == {at: (n, len(who), total) for at, (n, who, total) in want.items()} and got[2026, 1][1] == 0
+    plan = reports.monthly_sales_trend(orders)._jdf.queryExecution().executedPlan().toString()
+    assert ("bitmap" in plan.lower()) == (kind != "string")
+    # Bitmaps are made before the shuffle; no row for each month and customer is.
+    assert kind == "string" or not [x for x in plan.splitlines() if "Exchange hash" in x and "customer_id" in x]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Collection, Iterable
+from copy import copy
 from dataclasses import replace
 from functools import wraps
 
@@ -73,6 +74,12 @@ class Lake:
     def table(self, name: str, key: str) -> LakeTable:
         return LakeTable(self, name, key)
 
+    def under(self, spark: SparkSession) -> Lake:
+        """The same lake, worked on under another session of the application."""
+        other = copy(self)
+        other.spark = spark
+        return other
+
     def drop(self) -> None:
         for database in (self.database, self.staging):
             self.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
@@ -90,6 +97,10 @@ class LakeTable:
         self.key = key
         self.locator = KeyLocator(lake.spark, lake.database, self.short_name, key)
 
+    def under(self, spark: SparkSession) -> LakeTable:
+        """The same table, worked on under another session of the application."""
+        return LakeTable(self.lake.under(spark), self.short_name, self.key)
+
     # Reading
 
     def exists(self) -> bool:

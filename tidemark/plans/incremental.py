@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 
 from tidemark.functions.audit import prepared
@@ -13,6 +14,7 @@ from tidemark.operators.catalog import table_profile
 from tidemark.operators.increments import Mark, after_mark, backfill_or_since, late_rows, micro_batch
 from tidemark.operators.lake import LakeTable
 from tidemark.operators.watermarks import Watermarks
+from tidemark.session import moved_to, session_like
 
 
 # The key of each known table, and of any other.
@@ -134,18 +136,31 @@ def load_all(
 ) -> AllRuns:
     """Load every table; refresh and profile the catalog only if all loads succeeded.
 
-    A failed table does not keep the others from loading. The loads themselves
-    register new partitions and columns.
+    The loads run at the same time, each in a session of its own, as they set the layout
+    of their writes, and in a scheduler pool of its own, so that with
+    ``spark.scheduler.mode=FAIR`` a small table does not wait for a large one. A failed
+    table does not keep the others from loading. The loads themselves register new
+    partitions and columns.
     """
     runs: dict[str, Run] = {}
     errors: dict[str, Exception] = {}
-    for table, source in sources:
+
+    def load(table: LakeTable, source: DataFrame) -> None:
+        own = session_like(table.spark)
+        own.sparkContext.setLocalProperty("spark.scheduler.pool", f"load_{table.short_name}")
         try:
             runs[table.short_name] = load_increment(
-                table, source, as_of, run_id, unique=unique, verify=verify, lookback=lookback
+                table.under(own), moved_to(source, own), as_of, run_id, unique=unique, verify=verify, lookback=lookback
             )
         except Exception as error:  # noqa: BLE001 - reported per table
             errors[table.short_name] = error
+
+    # Threads that carry their own scheduler pool and are stopped with the caller's job group.
+    threads = [InheritableThread(target=load, args=source, session=source[0].spark) for source in sources]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
     if errors:
         return AllRuns(runs, errors, None)
     spark = sources[0][0].spark

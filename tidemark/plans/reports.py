@@ -7,8 +7,9 @@ many orders reaches the join as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.functions.columns import (
     change_status,
@@ -65,14 +66,32 @@ def top_customers(customers: DataFrame, orders: DataFrame, k: int = 5) -> DataFr
     )
 
 
+def with_distinct(df: DataFrame, groups: list[str], sums: dict[str, Column], key: str, name: str) -> DataFrame:
+    """Sums per group, and as ``name`` the exact number of different keys.
+
+    Whole-number keys are marked in bitmaps of ``key`` ranges. Each task makes one bitmap
+    for a group and range, and those are shuffled, not a row for each group and key.
+    Ranges share no keys, so a group's bits add up. Other keys are counted as they are.
+    ``sums`` are aggregates whose parts can be added.
+    """
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        return df.groupBy(*groups).agg(*[c.alias(n) for n, c in sums.items()], F.count_distinct(key).alias(name))
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("__bits")
+    ranged = df.withColumn("__range", F.bitmap_bucket_number(key))
+    parts = ranged.groupBy(*groups, "__range").agg(*[c.alias(n) for n, c in sums.items()], bits)
+    kinds = {f.name: f.dataType for f in parts.schema}
+    added = [F.sum(n).cast(kinds[n]).alias(n) for n in sums]
+    return parts.groupBy(*groups).agg(*added, F.sum(F.bitmap_count("__bits")).alias(name))
+
+
 def monthly_sales_trend(orders: DataFrame) -> DataFrame:
+    sums = {"total_orders": F.count("order_id"), "total_revenue": F.sum(order_value()), "valued": count_valued()}
+    months = orders.withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
     return (
-        orders.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum(order_value()).alias("total_revenue"),
-            exact_average(F.sum(order_value()), count_valued()).alias("avg_order_value"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+        with_distinct(months, ["year", "month"], sums, "customer_id", "unique_customers")
+        .select(
+            "year", "month", "total_orders", "total_revenue",
+            exact_average(F.col("total_revenue"), F.col("valued")).alias("avg_order_value"), "unique_customers",
         )
         .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
     )
@@ -132,13 +151,12 @@ def customer_lifetime_value(customers: DataFrame, orders: DataFrame) -> DataFram
 
 def monthly_revenue(orders: DataFrame, year: int) -> DataFrame:
     """Revenue per month of one year of a table with ``year`` and ``month`` columns."""
+    sums = {"monthly_revenue": F.sum(order_value()), "valued": count_valued()}
     return (
-        orders.where(F.col("year") == year)
-        .groupBy("year", "month")
-        .agg(
-            F.sum(order_value()).alias("monthly_revenue"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            exact_average(F.sum(order_value()), count_valued()).alias("avg_order_value"),
+        with_distinct(orders.where(F.col("year") == year), ["year", "month"], sums, "customer_id", "unique_customers")
+        .select(
+            "year", "month", "monthly_revenue", "unique_customers",
+            exact_average(F.col("monthly_revenue"), F.col("valued")).alias("avg_order_value"),
         )
         .orderBy("year", "month")
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -63,6 +64,33 @@ def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None
                 spark.conf.set(key, value)
 
 
+def session_like(spark: SparkSession) -> SparkSession:
+    """A session of its own with the same settings, catalog and context.
+
+    Settings changed in it, and its temporary views, are not seen by others.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
+def moved_to(df: DataFrame, session: SparkSession) -> DataFrame:
+    """The same rows, computed under another session of the application.
+
+    They pass through a global view, which holds the plan and no data.
+    """
+    if df.sparkSession is session:
+        return df
+    name = f"moved_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    moved = session.table(f"global_temp.{name}")
+    moved.schema  # analysed here, so that the view can go
+    session.catalog.dropGlobalTempView(name)
+    return moved
+
+
 @contextmanager
 def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
     """List a partitioned table's folders with a few tasks per core.
