@@ -11,6 +11,7 @@ import pytest
 from tidemark.llm import metric_join, multi_index
 from tidemark.llm.metric_join import Cells, near_vectors, roots, spread_pivots
 from tidemark.llm.multi_index import MultiIndex, hard_negatives, walk
+from tidemark.llm.pivot_search import top_k_products
 from tidemark.llm.queries import relabelled
 
 # Names that the operators use inside, as extra columns.
@@ -174,3 +175,16 @@ def test_hard_negatives_equal_plain_ones(spark, small_blocks, every):
 def test_relabelled_rows(spark):
     rows = [(0, [1.0], 9), (7, [1.0], None), (8, [1.0], 9), (None, [1.0], 3)]
     assert sorted(((r["vec_id"], r["label"]) for r in relabelled(frame(spark, rows)).collect()), key=repr) == [(0, 0), (7, None), (8, 9), (None, 3)]
+
+
+def test_top_products_of_repeated_ids(spark):
+    """Rows of one id are rows of their own, and candidates of each other."""
+    rows = [r for r in awkward(90) if r[1] is None or not any(x is not None and math.isfinite(x) and abs(x) > 1e9 for x in r[1])]
+    rows += [(50, [0.1] * 6, 1), (50, [0.9] * 6, 1), (50, [0.9] * 6, 2), (7, [0.9] * 6, 2), (7, [0.1] * 6, 2)]
+    good = [(i, [math.floor(float(np.float32(x)) * 256) for x in v]) for i, v, _ in rows if i is not None and usable(v)]
+    want = []
+    for a, (i, v) in enumerate(good):
+        if i % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(good) if a != b)
+            want += [(i, rank, j, -p) for rank, (p, j) in enumerate(scores[:5], 1)]
+    assert sorted(map(tuple, top_k_products(frame(spark, rows), pivots=3).collect())) == sorted(want)

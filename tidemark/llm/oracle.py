@@ -81,19 +81,19 @@ FROM numbered LEFT JOIN taken USING (n)
 """
 
 OP10 = r"""
-WITH usable AS (
-  SELECT vec_id, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS v
+WITH usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0
 ), parts AS (
-  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
-), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
-  FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id <> c.vec_id
+  SELECT n, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM usable
+), products AS (
+  SELECT q.n AS query, c.n AS other, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.n <> c.n
   WHERE q.vec_id % 50 = 0 GROUP BY ALL
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
-FROM scored QUALIFY rank <= 5
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, c.vec_id, other)::INTEGER AS rank, c.vec_id, score
+FROM products JOIN usable q ON query = q.n JOIN usable c ON other = c.n QUALIFY rank <= 5
 """
 
 OP11 = r"""

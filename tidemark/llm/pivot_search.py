@@ -79,19 +79,21 @@ def products(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
     return queries @ block.T
 
 
-def best_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, block: np.ndarray, k: int, least: np.ndarray) -> pd.DataFrame:
-    """The k best of the block for each query, from its least useful score on; ids ascend."""
+def best_of_block(
+    query_rows: np.ndarray, queries: np.ndarray, in_block: np.ndarray, ids: np.ndarray, block: np.ndarray, k: int, least: np.ndarray
+) -> pd.DataFrame:
+    """The k best of the block for each query, from its least useful score on; ids ascend, ``in_block`` are their rows."""
     scores = products(queries, block)
-    own = query_ids[:, None] == ids[None, :]
+    own = query_rows[:, None] == in_block[None, :]
     rows, columns, values = [], [], []
-    for q in range(len(query_ids)):
+    for q in range(len(query_rows)):
         useful = np.flatnonzero((scores[q] >= least[q]) & ~own[q])
         if len(useful) > k:
             useful = useful[np.argsort(-scores[q, useful], kind="stable")[:k]]
-        rows.append(np.full(len(useful), query_ids[q]))
+        rows.append(np.full(len(useful), query_rows[q]))
         columns.append(ids[useful])
         values.append(scores[q, useful])
-    return pd.DataFrame({"query_id": np.concatenate(rows), "vec_id": np.concatenate(columns), "score": np.concatenate(values)})
+    return pd.DataFrame({"query": np.concatenate(rows), "vec_id": np.concatenate(columns), "score": np.concatenate(values)})
 
 
 def _int64(blob: bytes) -> np.ndarray:
@@ -99,14 +101,11 @@ def _int64(blob: bytes) -> np.ndarray:
 
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: float = 256.0) -> DataFrame:
-    """id and integer vector of usable rows, one per id."""
+    """id and integer vector of usable rows."""
     v = F.col(vec_col)
     usable = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & v.isNotNull() & usable)
-    return (
-        rows.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
-        .groupBy("id").agg(F.min("v").alias("v"))
-    )
+    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
 
 
 def top_k_products(
@@ -120,19 +119,19 @@ def top_k_products(
     and they only steer the order of the search: the result is exact.
 
     Rows with a null id, a null vector, or a null or non-finite component take no
-    part. An id that repeats counts once, with its least vector. Shorter vectors are
-    filled with zeros, an empty one is all zeros. With fewer than k candidates all are
+    part. Rows of a repeated id are rows of their own, as queries and as candidates of
+    each other. Shorter vectors are filled with zeros, an empty one is all zeros. With fewer than k candidates all are
     returned; without rows nothing is. Other columns are ignored, whatever their
     names. Products are expected to fit 63 bits.
     """
     spark = vectors.sparkSession
-    rows = stored(quantized(vectors, id_col, vec_col), "pivot-vectors")
+    rows = stored(quantized(vectors, id_col, vec_col).select(F.monotonically_increasing_id().alias("row"), "*"), "pivot-vectors")
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     norm, width, n_queries = rows.agg(
         F.coalesce(F.max(squares), F.lit(0.0)), F.coalesce(F.max(F.size("v")), F.lit(0)), F.count_if(F.pmod("id", F.lit(every)) == 0)
     ).first()
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    kind = "query_id long, vec_id long, score long"
+    chosen = rows.orderBy(F.xxhash64("id"), "id", "row").limit(pivots).collect()
+    kind = "query long, vec_id long, score long"
     if not chosen:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     bare = Index(np.zeros((0, width), np.int64), float(np.sqrt(norm)), max(1, width))
@@ -144,69 +143,70 @@ def top_k_products(
             away = index.distances(m)
             near = away.argmin(axis=1)
             ring = np.floor(away[np.arange(len(m)), near] / index.step).astype(np.int32)
-            yield pd.DataFrame({"id": batch["id"], "pivot": near.astype(np.int32), "ring": ring, "v": [x.tobytes() for x in m]})
+            yield pd.DataFrame({"row": batch["row"], "id": batch["id"], "pivot": near.astype(np.int32), "ring": ring, "v": [x.tobytes() for x in m]})
 
-    filed = stored(rows.mapInPandas(file, "id long, pivot int, ring int, v binary"), "pivot-filed")
+    filed = stored(rows.mapInPandas(file, "row long, id long, pivot int, ring int, v binary"), "pivot-filed")
     # At most pivots * RINGS rows.
     sizes = filed.groupBy("pivot", "ring").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("cuts"))
     rings = sorted((r["pivot"], r["ring"]) for r in sizes.collect())
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
+        group = group.sort_values(["id", "row"])
         keys = group[["pivot", "ring"]].iloc[0]
+        own = {c: [group[c].to_numpy(np.int64).tobytes()] for c in ("row", "id")}
         return pd.DataFrame(
-            {"pivot": [keys["pivot"]], "ring": [keys["ring"]], "ids": [group["id"].to_numpy(np.int64).tobytes()], "block": [b"".join(group["v"])]}
+            {"pivot": [keys["pivot"]], "ring": [keys["ring"]], "rows": own["row"], "ids": own["id"], "block": [b"".join(group["v"])]}
         )
 
-    cut = filed.join(F.broadcast(sizes), ["pivot", "ring"]).withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts")))
+    cut = filed.join(F.broadcast(sizes), ["pivot", "ring"]).withColumn("cut", F.pmod(F.xxhash64("row"), F.col("cuts")))
     blocks = stored(
-        cut.groupBy("pivot", "ring", "cut").applyInPandas(pack, "pivot int, ring int, ids binary, block binary"), "pivot-blocks"
+        cut.groupBy("pivot", "ring", "cut").applyInPandas(pack, "pivot int, ring int, rows binary, ids binary, block binary"), "pivot-blocks"
     )
 
     tiles_per_pivot = max(1, -(-int(n_queries) // (TILE_ROWS * pivots)))
 
     def tile(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("id")
+        group = group.sort_values("row")
         return pd.DataFrame(
             {
                 "tile": [f"{group['pivot'].iloc[0]}-{group['part'].iloc[0]}"], "home": [int(group["pivot"].iloc[0])],
-                "rings": [sorted(set(group["ring"].tolist()))], "query_ids": [group["id"].to_numpy(np.int64).tobytes()], "queries": [b"".join(group["v"])],
+                "rings": [sorted(set(group["ring"].tolist()))], "query_rows": [group["row"].to_numpy(np.int64).tobytes()], "queries": [b"".join(group["v"])],
             }
         )
 
-    queries = filed.where(F.pmod("id", F.lit(every)) == 0).withColumn("part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(tiles_per_pivot)))
+    queries = filed.where(F.pmod("id", F.lit(every)) == 0).withColumn("part", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(tiles_per_pivot)))
     tiles = stored(
-        queries.groupBy("pivot", "part").applyInPandas(tile, "tile string, home int, rings array<int>, query_ids binary, queries binary"), "pivot-tiles"
+        queries.groupBy("pivot", "part").applyInPandas(tile, "tile string, home int, rings array<int>, query_rows binary, queries binary"), "pivot-tiles"
     )
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                query_ids, ids = _int64(r.query_ids), _int64(r.ids)
-                least = _int64(r.least) if r.least is not None else np.full(len(query_ids), np.iinfo(np.int64).min)
+                query_rows, ids = _int64(r.query_rows), _int64(r.ids)
+                least = _int64(r.least) if r.least is not None else np.full(len(query_rows), np.iinfo(np.int64).min)
                 yield best_of_block(
-                    query_ids, _int64(r.queries).reshape(len(query_ids), -1), ids, _int64(r.block).reshape(len(ids), -1), k, least
+                    query_rows, _int64(r.queries).reshape(len(query_rows), -1), _int64(r.rows), ids, _int64(r.block).reshape(len(ids), -1), k, least
                 )
 
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
 
     def ranked(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
-    home = tiles.select("query_ids", "queries", F.lit(None).cast("binary").alias("least"), F.col("home").alias("pivot"), F.explode("rings").alias("ring"))
-    near = stored(ranked(home.join(blocks, ["pivot", "ring"]).select("query_ids", "queries", "least", "ids", "block").mapInPandas(search, kind)), "pivot-near")
+    home = tiles.select("query_rows", "queries", F.lit(None).cast("binary").alias("least"), F.col("home").alias("pivot"), F.explode("rings").alias("ring"))
+    near = stored(ranked(home.join(blocks, ["pivot", "ring"]).select("query_rows", "queries", "least", "rows", "ids", "block").mapInPandas(search, kind)), "pivot-near")
 
-    kth = near.where(F.col("rank") == k).select("query_id", "score")
-    tile_of = queries.select(F.concat_ws("-", "pivot", "part").alias("tile"), F.col("id").alias("query_id"))
-    limits = tile_of.join(kth, "query_id", "left").groupBy("tile").agg(F.collect_list(F.struct("query_id", "score")).alias("limits"))
+    kth = near.where(F.col("rank") == k).select("query", "score")
+    tile_of = queries.select(F.concat_ws("-", "pivot", "part").alias("tile"), F.col("row").alias("query"))
+    limits = tile_of.join(kth, "query", "left").groupBy("tile").agg(F.collect_list(F.struct("query", "score")).alias("limits"))
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                query_ids = _int64(r.query_ids)
-                m = _int64(r.queries).reshape(len(query_ids), -1)
-                known = {x["query_id"]: x["score"] for x in r.limits if x["score"] is not None}
-                least = np.array([known.get(q, np.iinfo(np.int64).min) for q in query_ids.tolist()], dtype=np.int64)
+                query_rows = _int64(r.query_rows)
+                m = _int64(r.queries).reshape(len(query_rows), -1)
+                known = {x["query"]: x["score"] for x in r.limits if x["score"] is not None}
+                least = np.array([known.get(q, np.iinfo(np.int64).min) for q in query_rows.tolist()], dtype=np.int64)
                 away = index.query_distances(m)
                 done = {(r.home, x) for x in r.rings}
                 wanted = [
@@ -216,11 +216,11 @@ def top_k_products(
                 yield pd.DataFrame(
                     {
                         "pivot": np.array([p for p, _ in wanted], np.int32), "ring": np.array([x for _, x in wanted], np.int32),
-                        "query_ids": [r.query_ids] * len(wanted), "queries": [r.queries] * len(wanted), "least": [least.tobytes()] * len(wanted),
+                        "query_rows": [r.query_rows] * len(wanted), "queries": [r.queries] * len(wanted), "least": [least.tobytes()] * len(wanted),
                     }
                 )
 
-    asked = tiles.join(limits, "tile").mapInPandas(expand, "pivot int, ring int, query_ids binary, queries binary, least binary")
-    far = asked.join(blocks, ["pivot", "ring"]).select("query_ids", "queries", "least", "ids", "block").mapInPandas(search, kind)
-    found = near.select("query_id", "vec_id", "score").union(far)
-    return ranked(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    asked = tiles.join(limits, "tile").mapInPandas(expand, "pivot int, ring int, query_rows binary, queries binary, least binary")
+    far = asked.join(blocks, ["pivot", "ring"]).select("query_rows", "queries", "least", "rows", "ids", "block").mapInPandas(search, kind)
+    found = ranked(near.select("query", "vec_id", "score").union(far))
+    return found.join(queries.select(F.col("row").alias("query"), F.col("id").alias("query_id")), "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
