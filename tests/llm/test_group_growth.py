@@ -1,0 +1,54 @@
+"""Candidates of a group of near copies grow in proportion to it, and one of each group stays."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+import pytest
+
+import llm.brute as brute
+from tidemark.llm import jaccard
+from tidemark.llm.jaccard import near_duplicates
+
+
+def edited(n, edits, seed):
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(edits):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(10**6)}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("edits", [3, 6])
+def test_candidates_follow_the_group(spark, monkeypatch, edits):
+    """Copies that are all similar, and copies of which many are not."""
+    counts, links = {}, jaccard._links
+
+    def counted(docs, classes, pairs, width, percent):
+        counts[n] = counts.get(n, 0) + pairs.count()
+        return links(docs, classes, pairs, width, percent)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    for n in (200, 800):
+        near_duplicates(brute.documents(spark, edited(n, edits, 1))).count()
+    # All pairs would be 16 times as many.
+    assert counts[800] <= 5.5 * counts[200] and counts[800] <= 50 * 800
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Near copies under one id, without any id, and other texts under the id that is kept."""
+    copies = edited(6, 2, 3)
+    other, third = " ".join(f"o{i}" for i in range(40)), " ".join(f"p{i}" for i in range(40))
+    texts = [(5, copies[0]), (5, copies[1]), (None, copies[2]), (5, other), (None, third), (None, third + " more"), (9, third), (7, ""), (None, None), (7, "")]
+    kept = corpus_pipeline.drop_near_copies(spark, brute.documents(spark, texts), "").collect()
+    assert sorted((str(r["doc_id"]), r["text"] in copies, r["text"] or "") for r in kept if r["text"] not in copies) == [
+        ("5", False, other), ("7", False, ""), ("9", False, third), ("None", False, "")
+    ]
+    assert [r["doc_id"] for r in kept if r["text"] in copies] == [5]
+    unnamed = brute.documents(spark, [(None, c) for c in copies])
+    assert corpus_pipeline.drop_near_copies(spark, unnamed, "").count() == 1

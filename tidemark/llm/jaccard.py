@@ -49,7 +49,7 @@ HOT_SAMPLE = 4_000
 HOT_SETS = 4_000
 HOT_LEAST = 8
 TILE_SETS = 512
-LARGE_GROUP = 64
+LARGE_GROUP = 16
 
 _u = np.uint64
 
@@ -487,13 +487,16 @@ def _close_in_tiles(docs: DataFrame, classes: DataFrame, groups: DataFrame, widt
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, bands: Bands = Bands()
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, the smallest id reachable by links, and text_hash.
+    """One row per document: id, n_shingles, component_id, the smallest id reachable by links, text_hash and component.
 
     Two documents link when their sets of ``width``-word shingles have a Jaccard
     similarity of ``bands.percent`` or more. Documents with fewer words have one
     shingle; those without words, or with a null text, have none and link with
     nothing, not even with each other. Documents with equal sets always link.
 
+    ``component`` tells components apart also where ids repeat or are null; it is null
+    for documents without words.
+
     Repeated rows are rows of their own in the result. A null id is never the
     smallest; where a component has no other, its component_id is null. No documents
     give no rows. Other columns are ignored, whatever their names.
@@ -544,7 +547,9 @@ def near_duplicates(
         "set", "other", "first", F.coalesce("root", "set").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("set", "other", "component_id"), "jaccard-components")
-    linked = rows.where("set IS NOT NULL").join(named, ["set", "other"]).select("id", "text_hash", "size", "component_id")
-    alone = rows.where("set IS NULL").select("id", "text_hash", "size", F.col("id").alias("component_id"))
-    return linked.union(alone).select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id", "text_hash")
+    named = stored(rooted.join(least, "root").select("set", "other", "component_id", "root"), "jaccard-components")
+    linked = rows.where("set IS NOT NULL").join(named, ["set", "other"]).select("id", "text_hash", "size", "component_id", "root")
+    alone = rows.where("set IS NULL").select("id", "text_hash", "size", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("root"))
+    return linked.union(alone).select(
+        F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id", "text_hash", F.col("root").alias("component")
+    )

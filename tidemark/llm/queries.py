@@ -45,7 +45,7 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents")).drop("text_hash")
+    return near_duplicates(table(spark, folder, "documents")).drop("text_hash", "component")
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
