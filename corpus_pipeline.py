@@ -56,9 +56,17 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; one of equal rows."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(kept.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__times")), "pipeline-kept")
+    """One document of each group of near copies, the one with the smallest id, then text hash; one of equal rows.
+
+    A null id comes after all others. Documents without words are in no group.
+    """
+    found = near_duplicates(docs)
+    alone = found.where("component IS NULL").groupBy("doc_id", "text_hash").agg(F.count("*").alias("__times"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    groups = found.where("component IS NOT NULL").groupBy("component", row.alias("row")).agg(F.count("*").alias("n"))
+    first = groups.groupBy("component").agg(F.min(F.struct("row", "n")).alias("first"))
+    kept = first.select("first.row.doc_id", "first.row.text_hash", F.col("first.n").alias("__times")).union(alone)
+    kept = stored(kept, "pipeline-kept")
     names = ["__k1", "__k2", "__k3"]
     once = _keyed(docs).join(_keys_of(kept.where("__times = 1")), names, "left_semi")
     repeated = kept.where("__times > 1")
