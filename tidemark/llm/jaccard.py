@@ -49,7 +49,7 @@ HOT_SAMPLE = 4_000
 HOT_SETS = 4_000
 HOT_LEAST = 8
 TILE_SETS = 512
-LARGE_GROUP = 16
+LARGE_GROUP = 64
 
 _u = np.uint64
 
