@@ -6,6 +6,7 @@ match are appended, and partitions that hold matches are computed anew into a
 staging table in the shared folder, then swapped in by a dynamic partition
 overwrite. The batch itself stays registered until all is done: a run that dies is
 finished by the next one, which completes its swap and merges its batch once more.
+Compaction packs a partition's small files and leaves its large ones where they are.
 A locator of keys, kept with the merges, tells which partitions hold matches.
 There must be one writer per table; readers may see a swap half done.
 """
@@ -26,9 +27,10 @@ from tidemark.functions.columns import PARTITION_COLUMNS, partition_key
 from tidemark.operators.increments import Summary, observed, summarize
 from tidemark.operators.locator import KeyLocator
 from tidemark.operators.merge import latest_per_key, without_stale
+from tidemark.operators.packing import crowded, packed_bins, small_bytes
 from tidemark.operators.ranking import latest_rows
 from tidemark.session import few_listing_tasks, session_conf, shared_dir
-from tidemark.sources.files import list_partition_files
+from tidemark.sources.files import list_partition_files, move_files, remove_file, remove_folder
 
 # Size to which written files are laid out.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -207,27 +209,22 @@ class LakeTable:
         within: Collection[int] | None = None,
         files: DataFrame | None = None,
     ) -> int:
-        """Merge small files when there are more than ``max_files`` files.
+        """Pack small files when there are more than ``max_files`` files.
 
-        Only partitions whose files are well below the target size are rewritten.
+        Partitions whose small files average well below the target size get them packed
+        into files of about that size; other files are neither read nor moved.
         With ``within`` only the numbered partitions are looked at, so that the work
         after a batch follows the batch; ``files`` is their listing, if it is known.
-        Returns how many were rewritten.
+        Returns how many partitions were packed.
         """
         files = self.list_files(within) if files is None else files
-        sizes = (
-            files.groupBy("number")
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-            .collect()
-        )
-        if sum(s["files"] for s in sizes) <= max_files:
+        if files.count() <= max_files:
+            return 0
+        if crowded(files, target_bytes).isEmpty():
             return 0
-        crowded = [s for s in sizes if s["files"] > 1 and s["bytes"] < s["files"] * target_bytes / 8]
-        if crowded:
-            self.finish_interrupted()
-            numbers = _numbers(crowded)
-            self._replace(self.read().where(_in_partitions(numbers)), numbers)
-        return len(crowded)
+        if self.finish_interrupted():
+            files = self.list_files(within)
+        return self._pack(crowded(files, target_bytes), target_bytes)
 
     @_listing_tuned
     def write_manifest(self, within: Collection[int] | None = None, files: DataFrame | None = None) -> str:
@@ -272,13 +269,22 @@ class LakeTable:
             self._drop_staged("lines", staged)
         return f"{self.lake.location}/manifest_{self.short_name}"
 
-    def finish_interrupted(self) -> None:
-        """Complete the merge of a run that died, and drop what else it staged.
+    def finish_interrupted(self) -> bool:
+        """Complete the merge or packing of a run that died, and drop what else it staged.
 
         Its swap is done first, if it was ready. Merging its batch again finds the rows
-        that it had already added by their keys, so none is there twice.
+        that it had already added by their keys, so none is there twice. Returns whether
+        there was anything.
         """
-        runs = {kind: self._staged(kind) for kind in ("plan", "rows", "merge", "batch", "lines")}
+        kinds = ("packed", "bins", "plan", "rows", "merge", "batch", "lines")
+        runs = {kind: self._staged(kind) for kind in kinds}
+        # A packing comes first: rows that are there twice would be merged twice.
+        for run in runs["packed"]:
+            self._publish_packed(run)
+        for run in runs["bins"]:
+            if run not in runs["packed"]:
+                remove_folder(self.spark, self._packed_folder(run))
+                self._drop_staged("bins", run)
         for run in runs["plan"]:
             self._publish(run)
         for run in runs["rows"]:
@@ -292,6 +298,7 @@ class LakeTable:
         for kind in ("batch", "lines"):
             for run in runs[kind]:
                 self._drop_staged(kind, run)
+        return any(runs.values())
 
     def list_files(self, within: Collection[int] | None = None) -> DataFrame:
         """The table's files; folders that are no partition of it do not count.
@@ -439,6 +446,55 @@ class LakeTable:
         self._drop_staged("plan", run)
         self._drop_staged("rows", run)
 
+    # Steps of a packing
+
+    def _packed_folder(self, run: str) -> str:
+        """Where packed files wait: beside the partitions, under a name that no read sees."""
+        return f"{self.location}/_packed_{run}"
+
+    def _pack(self, small: DataFrame, target_bytes: int) -> int:
+        """Write the small files' rows as fewer files, then put these in their place."""
+        run = uuid.uuid4().hex
+        bins = self.spark.table(self._stage("bins", packed_bins(small, target_bytes), run))
+        numbers = _numbers(bins.select("number").distinct().collect())
+        if numbers:
+            # Spark leaves out files by their size before it reads any.
+            rows = self.read().where(_in_partitions(numbers) & (F.col("_metadata.file_size") < small_bytes(target_bytes)))
+            named = rows.select("*", F.col("_metadata.file_name").alias("pack_file"), partition_key().alias("pack_number"))
+            dealt = bins.select(
+                F.col("number").alias("pack_number"), F.col("name").alias("pack_file"), F.col("bin").alias("pack_bin")
+            )
+            content = named.join(dealt, ["pack_number", "pack_file"]).drop("pack_file", *PARTITION_COLUMNS)
+            # A bin has the target size at most, so a task can hold it.
+            content = content.repartition("pack_number", "pack_bin")
+            content.write.partitionBy("pack_number", "pack_bin").parquet(self._packed_folder(run))
+            written = self.spark.read.parquet(self._packed_folder(run)).select("pack_number", "pack_bin").distinct()
+            if written.count() != bins.select("number", "bin").distinct().count():
+                raise RuntimeError(f"the listed files of {self.name} are not those that are read")
+            # Registered last: if it is there, the packed files are whole.
+            self._stage("packed", self.spark.createDataFrame([(len(numbers),)], "partitions INT"), run)
+            self._publish_packed(run)
+        else:
+            self._drop_staged("bins", run)
+        return len(numbers)
+
+    def _publish_packed(self, run: str) -> None:
+        """Move packed files to their partitions and delete what they were made of.
+
+        Each step can be repeated. Rows are twice there in between, but never gone.
+        """
+        bins = self.spark.table(self._staged_name("bins", run))
+        folders = bins.groupBy("number", "bin").agg(F.first("folder").alias("folder"))
+        for row in folders.toLocalIterator():
+            staged = f"{self._packed_folder(run)}/pack_number={row['number']}/pack_bin={row['bin']}"
+            move_files(self.spark, staged, row["folder"], f"packed-{run}-{row['bin']}")
+        for row in bins.select("folder", "name").toLocalIterator():
+            remove_file(self.spark, f"{row['folder']}/{row['name']}")
+        remove_folder(self.spark, self._packed_folder(run))
+        self.spark.catalog.refreshTable(self.name)
+        self._drop_staged("packed", run)
+        self._drop_staged("bins", run)
+
     def _drop_partitions(self, numbers: set[int]) -> None:
         gone = self.partitions().where(F.col("number").isin(list(numbers))).collect()
         specs = []

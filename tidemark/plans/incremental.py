@@ -62,10 +62,12 @@ def load_increment(
     ``first_days`` limits a first load to rows updated within so many days.
 
     The mark moves last, and only to what the written batch holds. A run that
-    fails before is repeated from the old mark, with the same result.
+    fails before is repeated from the old mark, with the same result. So is one that
+    finds at the end that another run has committed: it raises ``CommitConflict``, and
+    its repetition starts from the other's mark.
     """
     marks = Watermarks(table.lake)
-    before = marks.current(table.short_name)
+    before, version = marks.standing(table.short_name)
     if before is None and first_days is not None:
         source = backfill_or_since(source, None, as_of, first_days)
     batch = after_mark(source, before, table.key, lookback)
@@ -78,7 +80,7 @@ def load_increment(
         files = None
     manifest = table.write_manifest(done.touched, files)
     mark = done.mark.after(before)
-    marks.commit(table.short_name, mark, run_id)
+    marks.commit(table.short_name, mark, run_id, version)
     return Run(table.short_name, done.rows, mark, final_count, latest, manifest, done.mark)
 
 

@@ -1,9 +1,11 @@
-"""Listings of the files below a folder, one row per file."""
+"""Listings of the files below a folder, one row per file, and moves of single files."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,65 @@ def list_partition_files(
     )
 
 
+def _found(spark: SparkSession, path: str):
+    """A path and the file system that it is on, both of the JVM."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there, there.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def move_files(spark: SparkSession, folder: str, to: str, name: str) -> None:
+    """Move a folder's Parquet files to another one of the same file system, as ``name-0`` and so on.
+
+    What is moved already, or not there, is no error, so a move can be repeated.
+    """
+    there, system = _found(spark, folder)
+    if not system.exists(there):
+        return
+    for status in system.listStatus(there):
+        if not (source := status.getPath()).getName().endswith(".parquet"):
+            continue
+        n = 0
+        while system.exists(target := _found(spark, f"{to}/{name}-{n}.parquet")[0]):
+            n += 1
+        if not system.rename(source, target):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that is never seen in part; False if there is one of this name already.
+
+    It is written under a hidden name and renamed, which fails over an existing file.
+    """
+    there, system = _found(spark, path)
+    hidden, _ = _found(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    out = system.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf)
+    options = spark._jvm.org.apache.hadoop.fs.Options
+    no_options = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 0)
+    try:
+        context.rename(hidden, there, no_options)
+        return True
+    except Py4JJavaError:
+        if not system.exists(there):
+            raise
+        return False
+    finally:
+        system.delete(hidden, False)
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    there, system = _found(spark, path)
+    system.delete(there, False)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    there, system = _found(spark, folder)
+    system.delete(there, True)
+
+
 def with_folder(files: DataFrame, root: str) -> DataFrame:
     """Add the top-level folder below ``root``; files directly in it are ``root``."""
     bare = root.rstrip("/").split(":", 1)[-1].lstrip("/")
