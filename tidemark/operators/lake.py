@@ -26,9 +26,10 @@ from pyspark.sql.types import IntegralType, StructField
 from tidemark.functions.columns import PARTITION_COLUMNS, partition_key
 from tidemark.operators.increments import Summary, observed, summarize
 from tidemark.operators.locator import KeyLocator
-from tidemark.operators.merge import latest_per_key, without_stale
+from tidemark.operators.merge import first_per_value, latest_per_key, without_stale
 from tidemark.operators.packing import crowded, packed_bins, small_bytes
 from tidemark.operators.ranking import latest_rows
+from tidemark.operators.unique_index import UniqueIndex
 from tidemark.session import few_listing_tasks, session_conf, shared_dir
 from tidemark.sources.files import list_partition_files, move_files, remove_file, remove_folder
 
@@ -158,6 +159,7 @@ class LakeTable:
         if not self.is_empty():
             raise ValueError(f"{self.name} has rows already")
         self.locator.drop()
+        self._drop_indexes()
         if self.exists():
             self._add_columns(df)
         else:
@@ -187,8 +189,69 @@ class LakeTable:
         if self.is_empty():
             return Summary.empty() if batch.isEmpty() else self.create(batch, unique)
         self.finish_interrupted()
+        # The batch may free values of unique columns, or take some.
+        self._drop_indexes()
         return self._merge_staged(batch, only_newer, unique)
 
+    @_listing_tuned
+    def insert_ignore(self, offered: DataFrame, unique: str) -> Summary:
+        """Add the rows whose value of the ``unique`` column is new; the others are ignored.
+
+        Of several rows with one value that with the lowest key is added, and rows without
+        a value are all added, as NULL never equals NULL. The rows must carry the partition
+        columns. Keys must be new: one that the table has, or that is offered twice, is an
+        error, and nothing is added then. The values are looked up in an index, which the
+        first offer builds; the table itself is not read. Offering the same rows again adds
+        none of those that have a value.
+        """
+        index = self.unique_index(unique)
+        if self.is_empty():
+            index.drop()
+            fresh = first_per_value(offered, unique, self.key)
+        else:
+            self.finish_interrupted()
+            if not index.exists():
+                values = self.read().select(unique)
+                index.build(values, values.count())
+            unnamed = offered.where(F.col(unique).isNull())
+            fresh = first_per_value(index.without_held(offered), unique, self.key).unionByName(unnamed)
+        run = uuid.uuid4().hex
+        rows = self.spark.table(self._stage("batch", fresh, run))
+        summary = replace(summarize(rows, self.key), staged=run)
+        try:
+            if summary.rows and (summary.repeated or self._holds_keys(rows, summary)):
+                raise ValueError(f"a {self.key} of a new {unique} is offered twice or is in {self.name} already")
+            if summary.rows and self.is_empty():
+                return self.create(rows, unique=True)
+            if summary.rows:
+                # A run that dies from here on is finished by the next one, which drops the index.
+                self._stage("merge", self.spark.createDataFrame([(summary.rows,)], "rows BIGINT"), run)
+                index.add(rows)
+                summary = replace(summary, touched=self._merge(rows, summary))
+                self._drop_staged("merge", run)
+                self.locator.settle()
+            return summary
+        finally:
+            if run not in self._staged("merge"):
+                self._drop_staged("batch", run)
+
+    def unique_index(self, column: str) -> UniqueIndex:
+        return UniqueIndex(self.spark, self.lake.database, self.short_name, column)
+
+    def _holds_keys(self, rows: DataFrame, summary: Summary) -> bool:
+        """Whether the table has one of the rows' keys; only partitions that may have are read."""
+        held = set() if self.is_empty() else self._partitions_holding(rows, summary)
+        if not held:
+            return False
+        inside = self.read().where(_in_partitions(held))
+        return not inside.join(self._keys(rows, summary), self.key, "left_semi").isEmpty()
+
+    def _drop_indexes(self) -> None:
+        prefix = f"unique_{self.short_name}__"
+        found = self.spark.sql(f"SHOW TABLES IN `{self.lake.database}` LIKE '{prefix}*'")
+        for row in found.collect():
+            self.spark.sql(f"DROP TABLE IF EXISTS `{self.lake.database}`.`{row['tableName']}`")
+
     @_listing_tuned
     def refresh(self, df: DataFrame, unique: bool = False) -> None:
         """Replace the whole content."""
@@ -197,6 +260,7 @@ class LakeTable:
             return
         self.finish_interrupted()
         self.locator.drop()
+        self._drop_indexes()
         self._add_columns(df)
         rows = df if unique else latest_per_key(df, self.key)
         self._replace(rows, _numbers(self.partitions().collect()))
@@ -290,6 +354,8 @@ class LakeTable:
         for run in runs["rows"]:
             if run not in runs["plan"]:
                 self._drop_staged("rows", run)
+        if runs["merge"]:
+            self._drop_indexes()
         for run in runs["merge"]:
             if run in runs["batch"]:
                 rows = self.spark.table(self._staged_name("batch", run))

@@ -73,24 +73,29 @@ def merge_into(batch: DataFrame, table: str, key: str) -> None:
     )
 
 
+def first_per_value(df: DataFrame, unique: str, key: str) -> DataFrame:
+    """Of the rows with one value, that with the lowest key; rows without a value all stay."""
+    rest = [c for c in df.columns if c not in (key, unique)]
+    first = (
+        df.where(F.col(unique).isNotNull())
+        .groupBy(unique)
+        .agg(F.min(F.struct(key, *rest)).alias("first"))
+        .select(unique, "first.*")
+    )
+    return first.select(*df.columns).unionByName(df.where(F.col(unique).isNull()))
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, unique: str, key: str) -> DataFrame:
     """Add source rows whose unique value is new; of several, the lowest key wins.
 
     NULL never equals NULL, so rows without a value all go in.
     """
-    rest = [c for c in source.columns if c not in (key, unique)]
-    named = source.where(F.col(unique).isNotNull())
-    first = (
-        named.groupBy(unique)
-        .agg(F.min(F.struct(key, *rest)).alias("first"))
-        .select(unique, "first.*")
-    )
     # Only the target's rows of offered values reach the anti join, so a small source
     # never makes the target shuffle.
-    taken = target.select(unique).join(named.select(unique), unique, "left_semi").distinct()
-    fresh = first.join(taken, unique, "left_anti")
-    unnamed = source.where(F.col(unique).isNull())
-    return target.unionByName(fresh).unionByName(unnamed)
+    offered = source.select(unique).where(F.col(unique).isNotNull())
+    taken = target.select(unique).join(offered, unique, "left_semi").distinct()
+    fresh = first_per_value(source, unique, key).join(taken, unique, "left_anti")
+    return target.unionByName(fresh)
 
 
 def keyed_update(

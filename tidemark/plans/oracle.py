@@ -189,6 +189,13 @@ def _sample(view: str, key: str, where: str, k: int) -> str:
     )
 
 
+INSERTED_CUSTOMERS = f"""SELECT {CUSTOMER_COLUMNS} FROM customers
+UNION ALL
+SELECT {CUSTOMER_COLUMNS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY email ORDER BY customer_id) AS place
+    FROM offered)
+WHERE place = 1 AND email NOT IN (SELECT email FROM customers)"""
+
 ORACLE: dict[str, str] = {
     "customer_orders_summary": _with(
         f"{CUSTOMER_TOTALS} ORDER BY total_spent DESC NULLS LAST, c.customer_id"
@@ -304,16 +311,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT {CUSTOMER_COLUMNS} FROM customers WHERE updated_at > created_at"""
     ),
-    "insert_ignore": _with(
-        f"""SELECT {CUSTOMER_COLUMNS} FROM customers
-        UNION ALL
-        SELECT {CUSTOMER_COLUMNS} FROM (
-            SELECT *, row_number() OVER (PARTITION BY email ORDER BY customer_id) AS place
-            FROM offered)
-        WHERE place = 1 AND email NOT IN (SELECT email FROM customers)""",
-        contacts=CONTACTS,
-        offered=OFFERED,
-    ),
+    "insert_ignore": _with(INSERTED_CUSTOMERS, contacts=CONTACTS, offered=OFFERED),
     "keyed_update": _with(
         _orders(
             quantity=f"CASE WHEN {RECENT} THEN GREATEST(1, quantity - 1) ELSE quantity END",
@@ -339,6 +337,11 @@ ORACLE: dict[str, str] = {
     "lake_full_refresh": _with(
         f"SELECT {RENAMED}, updated_at{_parts()} FROM customers"
     ),
+    "lake_insert_ignore": _with(
+        f"SELECT *{_parts()}, 0::BIGINT AS added_again FROM ({INSERTED_CUSTOMERS})",
+        contacts=CONTACTS,
+        offered=OFFERED,
+    ),
     "lake_compact": _with(f"SELECT *{_parts()} FROM customers"),
     "lake_latest": _with(
         f"SELECT *{_parts()} FROM customers ORDER BY updated_at DESC, customer_id LIMIT 5"
@@ -376,6 +379,7 @@ ORACLE: dict[str, str] = {
         ranked="""SELECT *, row_number() OVER (
             PARTITION BY customer_id ORDER BY price DESC, order_id) AS place FROM order_rows""",
     ),
+    "schema_widened": _with(_orders(order_id="CAST(order_id AS BIGINT)", quantity="CAST(quantity AS BIGINT)")),
     "schema_merge": _with(
         f"""SELECT customer_id, name, email, created_at, updated_at,
                CASE WHEN NOT ({OLD_CUSTOMERS}) THEN customer_segment END AS customer_segment

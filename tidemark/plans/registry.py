@@ -126,9 +126,8 @@ def upsert_only_newer(spark: SparkSession, folder: str) -> DataFrame:
     return merge.upsert(customers, changes, "customer_id", only_newer=True)
 
 
-def insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers, each offered twice, join the customers; known customers do not."""
-    customers = tables.customers(spark, folder)
+def _offered(spark: SparkSession, folder: str, customers: DataFrame) -> DataFrame:
+    """Suppliers, each twice, and the customers themselves under other keys."""
     contacts = tables.supplier_contacts(spark, folder)
     again = contacts.withColumns(
         {"customer_id": F.col("customer_id") * 1000 - 1, "name": updated_name()}
@@ -136,8 +135,23 @@ def insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     known = customers.withColumns(
         {"customer_id": F.col("customer_id") * -1000 - 7, "name": updated_name()}
     )
-    offered = contacts.unionByName(again).unionByName(known)
-    return merge.insert_ignore(customers, offered, "email", "customer_id")
+    return contacts.unionByName(again).unionByName(known)
+
+
+def insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers, each offered twice, join the customers; known customers do not."""
+    customers = tables.customers(spark, folder)
+    return merge.insert_ignore(customers, _offered(spark, folder, customers), "email", "customer_id")
+
+
+def lake_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on a stored table, by its index; a second offer of the same rows adds none."""
+    customers = tables.customers(spark, folder)
+    table = _customers_table(spark, folder, "insert_ignore")
+    offered = prepared(_offered(spark, folder, customers), CUSTOMERS_AS_OF, RUN_ID)
+    table.insert_ignore(offered, "email")
+    again = table.insert_ignore(offered, "email")
+    return _stored(table).withColumn("added_again", F.lit(again.rows).cast("bigint"))
 
 
 def keyed_update(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,6 +377,24 @@ def schema_merge(spark: SparkSession, folder: str) -> DataFrame:
     return catalog.discover_table(spark, name, landed)
 
 
+def schema_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose key and quantity grew from INT to BIGINT, and whose price got more digits.
+
+    The table was discovered when only the narrow files were there.
+    """
+    orders = tables.order_rows(spark, folder)
+    lake = _fresh_lake(spark, "schema_widened")
+    landed = f"{lake.location}/landed"
+    old = F.col("updated_at") < ntz(ORDERS_CUT)
+    narrow = {c: F.col(c).cast("int") for c in ("order_id", "quantity")} | {"price": F.col("price").cast("decimal(12,2)")}
+    wide = {c: F.col(c).cast("bigint") for c in ("order_id", "quantity")} | {"price": F.col("price").cast("decimal(24,4)")}
+    name = f"{lake.database}.orders"
+    orders.where(old).withColumns(narrow).write.parquet(landed)
+    catalog.discover_table(spark, name, landed)
+    orders.where(~old).withColumns(wide).write.mode("append").parquet(landed)
+    return _doubles(catalog.discover_table(spark, name, landed))
+
+
 QUERIES: dict[str, Query] = {
     # Reports
     "customer_orders_summary": _on_both(reports.customer_orders_summary),
@@ -444,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "lake_initial_write": lake_initial_write,
     "lake_upsert": lake_upsert,
     "lake_full_refresh": lake_full_refresh,
+    "lake_insert_ignore": lake_insert_ignore,
     "lake_compact": lake_compact,
     "lake_latest": lake_latest,
     "incremental_orders": incremental_orders,
@@ -457,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "saved_report": saved_report,
     # Catalog and checks
     "schema_merge": schema_merge,
+    "schema_widened": schema_widened,
     "table_profile": _table_profile,
     "check_constraints": _check_constraints,
 }
