@@ -360,6 +360,19 @@ ORACLE: dict[str, str] = {
     "incremental_micro_batches": _with(f"SELECT *{_parts()} FROM customers"),
     "lake_manifest": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
     "lake_partitions": _with(f"SELECT DISTINCT {_parts()[2:]} FROM customers"),
+    "lake_file_inventory": _with(
+        """SELECT folder, CAST(NULL AS INT) AS place, COUNT(*) AS files, CAST(SUM(bytes) AS BIGINT) AS bytes
+        FROM landed GROUP BY folder
+        UNION ALL
+        SELECT 'all', NULL, COUNT(*), CAST(SUM(bytes) AS BIGINT) FROM landed
+        UNION ALL
+        SELECT folder, CAST(place AS INT), 1, bytes FROM (
+            SELECT *, row_number() OVER (PARTITION BY folder ORDER BY batch DESC) AS place FROM landed)
+        WHERE place <= 5""",
+        landed="""SELECT 'customer_segment=' || customer_segment AS folder, customer_id % 7 AS batch,
+            customer_id // 100000 AS chunk, CAST(SUM(length(email) + 1) AS BIGINT) AS bytes
+        FROM customers GROUP BY ALL""",
+    ),
     "lake_inventory": _with(
         """SELECT folder, COUNT(*) > 0 AS has_files
         FROM customers, (VALUES ('customers'), ('manifest_customers')) folders(folder)
