@@ -4,7 +4,9 @@ Markup is read into a stack of open elements that supplies the end tags an autho
 may leave out, and rows around bare cells. What opens and closes drives a layout:
 blocks begin on lines of their own, paragraphs and headings with a blank line
 between, list items behind their bullet or number, table cells in aligned columns.
-Nothing is nested in Python calls, so depth has no limit.
+Nothing is nested in Python calls, and what is open is known by name, so pages may be
+of any depth. Tables nested deeper than ``MOST_TABLES`` are not aligned: their cells are
+blocks. Indentation ends at ``MOST_INDENT`` characters.
 
 Pages are read in Arrow batches where they lie; nothing is shuffled.
 """
@@ -53,6 +55,10 @@ SCOPE = frozenset("table td th caption button object template".split())
 LISTS = frozenset("ul ol menu dir".split())
 ALIGN_UP_TO = 100
 MOST_SPAN = 1000
+MOST_TABLES = 30
+MOST_INDENT = 100
+# Tags with quotes that never end are each looked through to the page's end.
+MOST_ODD = 16
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,6 +67,7 @@ _TOKEN = re.compile(
     r"|<(?P<odd>[a-zA-Z][^\s/>]*)(?P<rest>[^>]*)(?:>|\Z)",
     re.S,
 )
+_TOKEN_UNQUOTED = re.compile(_TOKEN.pattern.replace(r"(?>[^>\"']+|\"[^\"]*\"|'[^']*')*", "[^>]*"), re.S)
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NUMBER = re.compile(r"\s*([+-]?\d{1,9})")
@@ -74,7 +81,7 @@ class _Flow:
         self.line: list[str] = []
         self.blank = 0  # lines to leave before the next text
         self.space = False
-        self.indent: list[str] = []
+        self.indent = [""]  # of each open element that indents, with all above it
         self.mark = ""  # bullet waiting for the first line of its item
 
     def text(self, value: str) -> None:
@@ -109,7 +116,7 @@ class _Flow:
     def end_line(self, forced: bool = False) -> None:
         """End the current line; ``forced`` ends an empty one too."""
         if self.line or (forced and self.lines):
-            first = "".join(self.indent[:-1]) + self.mark if self.mark else "".join(self.indent)
+            first = self.indent[-2] + self.mark if self.mark else self.indent[-1]
             body = "".join(self.line)
             self.lines.append((first + body).rstrip() if body else "")
             if body:
@@ -117,6 +124,10 @@ class _Flow:
         self.line = []
         self.space = False
 
+    def indented(self, by: int) -> None:
+        above = self.indent[-1]
+        self.indent.append(above + " " * by if len(above) + by <= MOST_INDENT else above)
+
     def block(self, blank: int) -> None:
         self.end_line()
         self.blank = max(self.blank, blank + 1 if blank else 0)
@@ -164,12 +175,16 @@ class _Table:
             at += widths[column] + 2 if column in widths else 0
         out = []
         for row in self.rows:
-            for i in range(max((len(cell) for _, _, cell in row), default=0)):
+            side_by_side: list[list[tuple[int, str]]] = [[] for _ in range(max((len(cell) for _, _, cell in row), default=0))]
+            for column, _, cell in row:
+                for beside, text in zip(side_by_side, cell):
+                    if text:
+                        beside.append((column, text))
+            for beside in side_by_side:
                 line = ""
-                for column, _, cell in row:
-                    if i < len(cell) and cell[i]:
-                        gap = starts[column] - len(line)
-                        line += " " * (gap if gap > 0 or not line else 2) + cell[i]
+                for column, text in beside:
+                    gap = starts[column] - len(line)
+                    line += " " * (gap if gap > 0 or not line else 2) + text
                 out.append(line.rstrip())
         return out
 
@@ -194,6 +209,15 @@ class _Page:
     def __init__(self) -> None:
         self.flow = _Flow()
         self.stack: list[_Open] = [_Open("", "", False)]
+        self.places: dict[str, list[int]] = {}  # where elements of a name stand on the stack
+        self.tables: list[_Table | None] = []  # open tables, None for those nested too deep to be aligned
+
+    def _open(self, item: _Open) -> None:
+        self.places.setdefault(item.name, []).append(len(self.stack))
+        self.stack.append(item)
+
+    def _innermost(self, names: set | frozenset) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
 
     def text(self, value: str) -> None:
         top = self.stack[-1]
@@ -230,7 +254,7 @@ class _Page:
         if self.stack[-1].name == "head" and name not in ("title", "meta", "link", "base", "style", "script", "noscript", "template", "head"):
             self._close_to(len(self.stack) - 1)
         above = self.stack[-1]
-        hidden = self._hidden(attrs, name in HIDDEN)
+        hidden = self._hidden(attrs, name in HIDDEN or name == "dialog" and "open" not in attrs)
         if name == "br":
             if not hidden:
                 self.flow.end_line(True)
@@ -242,7 +266,7 @@ class _Page:
                 self.flow.block(1)
             return
         item = _Open(name, hidden, above.pre or name in ("pre", "textarea", "xmp"))
-        self.stack.append(item)
+        self._open(item)
         if hidden == "none":
             return
         if name in BLOCK:
@@ -251,25 +275,30 @@ class _Page:
         if name in LISTS:
             item.count = _number(attrs.get("start"), 1) if name == "ol" else None
         elif name == "li":
-            owner = next((x for x in reversed(self.stack[:-1]) if x.name in LISTS), None)
+            owner = self.stack[self._innermost(LISTS)]
             mark = "- "
-            if owner is not None and owner.name == "ol":
+            if owner.name == "ol":
                 owner.count = _number(attrs.get("value"), owner.count)
                 mark = f"{owner.count}. "
                 owner.count += 1
-            self.flow.indent.append(" " * len(mark))
+            self.flow.indented(len(mark))
             self.flow.mark = mark
             item.indented = True
         elif name in ("blockquote", "dd"):
-            self.flow.indent.append("  ")
+            self.flow.indented(2)
             item.indented = True
         elif name == "table":
-            item.table = _Table()
+            item.table = _Table() if len(self.tables) < MOST_TABLES else None
+            self.tables.append(item.table)
+        elif name in ("tr", "td", "th") and self.tables and self.tables[-1] is None:
+            self.flow.block(0)
+            item.block = True
         elif name == "tr":
-            if table := self._table():
-                table.row()
+            if self.tables:
+                self.tables[-1].row()
         elif name in ("td", "th"):
-            if table := self._table():
+            if self.tables:
+                table = self.tables[-1]
                 if not table.rows:
                     table.row()
                 item.span = _number(attrs.get("colspan"), 1), _number(attrs.get("rowspan"), 1)
@@ -294,7 +323,7 @@ class _Page:
         item = _Open(name, hidden, self.stack[-1].pre)
         item.foreign = name not in HTML_AGAIN
         item.block = inside and name in ("text", "foreignobject")
-        self.stack.append(item)
+        self._open(item)
         if item.block and hidden != "none":
             self.flow.block(0)
 
@@ -312,26 +341,20 @@ class _Page:
 
     def _find(self, names: set, scope: set | frozenset) -> int:
         """Where the innermost such element stands on the stack; 0 if there is none."""
-        for at in range(len(self.stack) - 1, 0, -1):
-            name = self.stack[at].name
-            if name in names:
-                return at
-            if name in scope:
-                return 0
-        return 0
-
-    def _table(self) -> _Table | None:
-        return next((x.table for x in reversed(self.stack) if x.table is not None), None)
+        at = self._innermost(names)
+        return at if at and at > self._innermost(scope - names) else 0
 
     def _close_to(self, at: int) -> None:
         while len(self.stack) > at:
             item = self.stack.pop()
+            self.places[item.name].pop()
             if item.hidden == "none":
                 continue
             if item.flow is not None:
                 lines, self.flow = self.flow.done(), item.flow
-                self._table().cell(lines, *(max(1, min(MOST_SPAN, n)) for n in item.span))
+                self.tables[-1].cell(lines, *(max(1, min(MOST_SPAN, n)) for n in item.span))
             elif item.table is not None:
+                self.tables.pop()
                 self.flow.block(1)
                 for line in item.table.lines():
                     if line:
@@ -339,6 +362,8 @@ class _Page:
                     self.flow.end_line(True)
                 self.flow.block(1)
             elif item.block:
+                if item.name == "table":
+                    self.tables.pop()
                 self.flow.block(1 if item.name in PARAGRAPH and not (item.name in LISTS and self._find({"li"}, {"table"})) else 0)
             if item.indented:
                 self.flow.indent.pop()
@@ -362,13 +387,13 @@ def visible_text(html: str | None) -> str:
     """All visible text of a page in lines; of a null or empty page the empty text."""
     if not html:
         return ""
-    page, at, end = _Page(), 0, len(html)
+    page, at, end, odd = _Page(), 0, len(html), 0
     while at < end:
         found = html.find("<", at)
         if found < 0:
             page.text(html[at:])
             break
-        token = _TOKEN.match(html, found)
+        token = (_TOKEN if odd < MOST_ODD else _TOKEN_UNQUOTED).match(html, found)
         if token is None:  # a lone "<" is text
             page.text(html[at : found + 1])
             at = found + 1
@@ -379,6 +404,7 @@ def visible_text(html: str | None) -> str:
         if name := token["end"]:
             page.end(name.lower())
         elif name := token["start"] or token["odd"]:
+            odd += token["odd"] is not None
             name = name.lower()
             rest = token["attrs"] if token["start"] else token["rest"]
             foreign = page.foreign
