@@ -2,16 +2,19 @@
 
 Two sets with Jaccard similarity t or more, the smaller of size a, differ in at most
 ``a * (1 - t) / t`` elements. Sizes are cut into bands; a band has a bound ``k`` on
-that difference, and the domain of shingles is dealt into more than ``k`` parts. The
-parts of a set are enumerated as signatures, each the hash of all its shingles in a
-part. A difference of ``k`` elements spoils ``k`` parts at most, so two similar sets
-have a part alike and share a signature, in the band of the smaller. A set emits for
+that difference. PartEnum's two levels: the domain of shingles is dealt into groups, and
+each group into ``cells`` parts. A difference of ``k`` elements leaves a group with ``spare``
+differences at most as soon as there are more than ``k / (spare + 1)`` groups, and those
+spoil ``spare`` of its parts at most. So all subsets of ``cells - spare`` parts of each
+group are enumerated as signatures, each the hash of all shingles in its parts: two
+similar sets have one of them alike, in the band of the smaller. A set emits for
 its own band and for those of all smaller sets it can be similar to.
 
-Parts without a shingle, or with shingles only that very many documents have, say
-little. They are left out as long as the remaining parts outnumber the difference
-the set may have; else the set emits them as well, and if even its filled parts are
-too few, each of its shingles. Similar sets always share one of these, so no link
+Subsets without a shingle, or with shingles only that very many documents have, say
+little. They are left out as long as the groups of which every subset has others
+outnumber those that the difference can spoil; else the set emits them as well, and if
+even its filled subsets are too few, each of its shingles. Of two similar sets, the one
+that leaves out more is sure of a subset alike, and the other emits that too, so no link
 between them is lost.
 
 Signatures are shipped in packed blocks and sorted bucket by bucket. Those that a sample
@@ -19,10 +22,11 @@ shows in very many sets are dealt out by set instead, as plain rows that meet th
 signature's first set in a broadcast join, so no task gets all sets of one. A shared
 signature gives candidate pairs of its first set with each other one. Bitmaps of
 their shingles, two bytes a shingle, bound what two sets can share; pairs that pass
-are compared exactly on their shingle sets. Where a signature's sets do not all end in
-one component that way, its most widely shared set is compared with the others. What is
-still apart then is compared across components: pair by pair in small groups, and
-tile by tile of some hundred sets where many share a signature, as edited copies of
+are compared exactly on their shingle sets. Where a signature's sets do not all
+end in one component that way, its most widely shared set is compared with the others. What is
+still apart then is compared across components: bitmap by bitmap in a row for each small
+group, which makes pairs of the close ones only, and tile by tile of some hundred sets where
+many share a signature, as edited copies of
 one text do; there the sets outside a group's largest component meet all of it. Only components are wanted, so pairs inside one need no comparison.
 """
 
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -50,17 +55,20 @@ HOT_SETS = 4_000
 HOT_LEAST = 8
 TILE_SETS = 512
 LARGE_GROUP = 64
+GROUP_BYTES = 2048
 
 _u = np.uint64
 
 
 @dataclass(frozen=True)
 class Bands:
-    """Bands of set sizes with the number of parts for each. ``top`` is a band's largest size."""
+    """Bands of set sizes with the parts of the domain for each. ``top`` is a band's largest size."""
 
     percent: int = 75
     ratio: float = 1.5
     slack: float = 1.15
+    cells: int = 3
+    spare: int = 1
 
     def top(self, band: int) -> int:
         """The largest size of a band; band 0 holds size 1."""
@@ -76,8 +84,16 @@ class Bands:
         """How many elements a set of this size, as the smaller, may differ in."""
         return size * (100 - self.percent) // self.percent
 
-    def parts(self, band: int) -> int:
-        return int(self.slack * (self.difference(self.top(band)) + 1)) + 2
+    def spoiled(self, difference: int) -> int:
+        """How many groups may have more than ``spare`` differences."""
+        return difference // (self.spare + 1)
+
+    def groups(self, band: int) -> int:
+        return int(self.slack * (self.spoiled(self.difference(self.top(band))) + 1)) + 1
+
+    def subsets(self) -> np.ndarray:
+        """The parts of each enumerated subset of a group, one subset a row."""
+        return np.array(list(combinations(range(self.cells), self.cells - self.spare)))
 
     def emitted(self, size: int) -> range:
         """The bands in which a set may meet a similar one that is smaller, or itself the smaller."""
@@ -94,21 +110,32 @@ def signatures(shingles: np.ndarray, bands: Bands, common: np.ndarray) -> np.nda
     if len(common):
         rare = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] != shingles
     may_differ = bands.difference(size)
+    subsets = bands.subsets()
     for band in bands.emitted(size):
-        if bands.difference(bands.top(band)) == 0:
+        most = bands.difference(bands.top(band))
+        if most == 0:
             continue  # only equal sets are similar here
-        parts = bands.parts(band)
+        groups = bands.groups(band)
+        shape = (groups, bands.cells)
+        parts = groups * bands.cells
         part = ((spread >> _u(32)) * _u(parts) >> _u(32)).astype(np.int64)
         content = np.zeros(parts, dtype=np.uint64)
         np.add.at(content, part, part_hash)
-        filled = np.bincount(part, minlength=parts) > 0
-        telling = np.bincount(part[rare], minlength=parts) > 0
-        names = mixed(content ^ mixed(np.arange(parts, dtype=np.uint64) + _u(band << 40)))
-        limit = min(may_differ, bands.difference(bands.top(band)))
-        out.append(names[telling])
-        if np.count_nonzero(telling) <= limit:
-            out.append(names[filled & ~telling])
-            if np.count_nonzero(filled) <= limit:
+        filled = (np.bincount(part, minlength=parts) > 0).reshape(shape)
+        telling = (np.bincount(part[rare], minlength=parts) > 0).reshape(shape)
+        place = np.arange(groups * len(subsets), dtype=np.uint64).reshape(groups, -1) + _u(band << 40)
+        names = mixed(content.reshape(shape)[:, subsets].sum(axis=2, dtype=np.uint64) ^ mixed(place))
+        spoiled = bands.spoiled(min(may_differ, most))
+
+        def too_few(parts_with: np.ndarray) -> bool:
+            """Whether the groups of which every subset has such a part may all be spoiled."""
+            return np.count_nonzero(parts_with.sum(axis=1) > bands.spare) <= spoiled
+
+        says = telling[:, subsets].any(axis=2)
+        out.append(names[says])
+        if too_few(telling):
+            out.append(names[filled[:, subsets].any(axis=2) & ~says])
+            if too_few(filled):
                 out.append(mixed(shingles ^ _u((band << 40) + 7)))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
@@ -267,7 +294,8 @@ def _candidates(docs: DataFrame, width: int, bands: Bands, buckets: int, common:
         )
 
     packed = docs.mapInPandas(emit, "bucket long, names binary, owners binary")
-    return packed.groupBy("bucket").applyInPandas(meet, "kind string, a long, b long")
+    # Signatures of one group often bring the same sets together in several buckets.
+    return packed.groupBy("bucket").applyInPandas(meet, "kind string, a long, b long").distinct()
 
 
 def _groups(owner: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -295,7 +323,7 @@ def _met(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = found.where("kind = 'pair'").select("a", "b").union(
         shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     )
-    members = found.where("kind = 'member'").select(F.col("a").alias("group"), F.col("b").alias("node")).distinct()
+    members = found.where("kind = 'member'").select(F.col("a").alias("group"), F.col("b").alias("node"))
     members = members.union(shared.where("n > 2").select("name", "node"))
     return stored(pairs.distinct(), "jaccard-pairs"), stored(members, "jaccard-groups")
 
@@ -395,30 +423,57 @@ def _exact(docs: DataFrame, classes: DataFrame, close: DataFrame, width: int, pe
 
 
 def _open_groups(members: DataFrame, joined: DataFrame) -> DataFrame:
-    """group, node and root of the signatures whose sets are in more than one component."""
+    """group, node, root and number of members of the signatures whose sets are in more than one component."""
     rooted = members.join(joined, "node", "left").select("group", "node", F.coalesce("root", "node").alias("root"))
-    split = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return stored(rooted.join(split.select("group"), "group"), "jaccard-open")
+    split = rooted.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
+    return stored(rooted.join(split.select("group", "members"), "group"), "jaccard-open")
 
 
-def _pairs_across(groups: DataFrame) -> DataFrame:
-    """Each two sets of a group from different components, as a and b."""
+def _close_in_groups(docs: DataFrame, classes: DataFrame, groups: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs from different components of small groups that may be similar.
 
-    def pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A group's bitmaps meet in one row and are compared there, so no pairs are made of
+    sets that can't be similar. Bitmaps are folded to ``GROUP_BYTES``, so a row stays small.
+    """
+    contents = _sets(docs, classes, groups.select(F.col("node").alias("a"), F.col("node").alias("b")), width, False)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            held = []
-            for sets in batch["sets"]:
-                node, root = (np.array([r[k] for r in sets], dtype=np.int64) for k in ("node", "root"))
-                left, right = np.triu_indices(len(node), 1)
-                apart = root[left] != root[right]
-                x, y = node[left[apart]], node[right[apart]]
-                held.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
-            if held:
-                found = np.unique(np.concatenate(held), axis=0)
-                yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+            short = [_folded(np.frombuffer(x, dtype=np.uint8)[None, :], min(len(x), GROUP_BYTES))[0].tobytes() for x in batch["content"]]
+            yield batch.assign(content=short)
 
-    sets = groups.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("node", "root"))).alias("sets"))
-    return sets.select("sets").distinct().mapInPandas(pair, "a long, b long").distinct()
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = [np.zeros((0, 2), dtype=np.int64)]
+            for sets in batch["sets"]:
+                held.extend(_close_of(sets, percent))
+            found = np.unique(np.concatenate(held), axis=0)
+            yield pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+    folded = contents.withColumnRenamed("set", "node").mapInPandas(fold, "node long, size long, content binary")
+    sets = groups.join(folded, "node").groupBy("group").agg(F.collect_list(F.struct("node", "root", "size", "content")).alias("sets"))
+    return stored(sets.select("sets").mapInPandas(compare, "a long, b long").distinct(), "jaccard-close-in-groups")
+
+
+def _close_of(sets: list, percent: int) -> Iterator[np.ndarray]:
+    """Pairs of one group's sets, as rows of the lesser and the greater, that may be similar and are not in one component."""
+    by_length: dict[int, list] = {}
+    for r in sets:
+        by_length.setdefault(len(r["content"]), []).append(r)
+    blocks = []
+    for rows in by_length.values():
+        bitmaps = np.frombuffer(b"".join(r["content"] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+        blocks.append((bitmaps, *(np.array([r[k] for r in rows], dtype=np.int64) for k in ("node", "root", "size"))))
+    for at, (left, node, root, size) in enumerate(blocks):
+        for right, others, roots, sizes in blocks[at:]:
+            for i in range(len(node)):
+                near = (100 * np.minimum(sizes, size[i]) >= percent * np.maximum(sizes, size[i])) & (roots != root[i])
+                if right is left:
+                    near[: i + 1] = False
+                to = np.flatnonzero(near)
+                if len(to):
+                    found = others[to[may_be_similar(left[i].tobytes(), size[i], right[to], sizes[to], percent)]]
+                    yield np.stack([np.minimum(node[i], found), np.maximum(node[i], found)], axis=1)
 
 
 def _placed(groups: DataFrame) -> DataFrame:
@@ -531,12 +586,10 @@ def near_duplicates(
         links = links.union(more)
         joined = components(links)
         groups = _open_groups(members, joined)
-    counts = groups.groupBy("group").agg(F.count("*").alias("members"))
-    groups = stored(groups.join(counts, "group"), "jaccard-sized")
     small, large = (groups.where(c) for c in (F.col("members") < LARGE_GROUP, F.col("members") >= LARGE_GROUP))
     if not small.isEmpty():
-        apart = stored(_pairs_across(small), "jaccard-apart")
-        links = links.union(_links(docs, classes, apart, width, bands.percent))
+        close = _close_in_groups(docs, classes, small, width, bands.percent)
+        links = links.union(_exact(docs, classes, close, width, bands.percent))
     if not large.isEmpty():
         close = _close_in_tiles(docs, classes, large, width, bands.percent)
         links = links.union(_exact(docs, classes, close, width, bands.percent))
