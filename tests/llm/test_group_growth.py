@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 import llm.brute as brute
@@ -52,3 +53,40 @@ def test_one_row_of_each_group_stays(spark):
     assert [r["doc_id"] for r in kept if r["text"] in copies] == [5]
     unnamed = brute.documents(spark, [(None, c) for c in copies])
     assert corpus_pipeline.drop_near_copies(spark, unnamed, "").count() == 1
+
+
+def test_tiles_of_dissimilar_copies_follow_the_group(spark, monkeypatch):
+    """Copies of which few are similar, that share many signatures: hardly any tiles meet, and all links are found."""
+    monkeypatch.setattr(jaccard, "TILE_SETS", 8)
+    made, tile_pairs = {}, jaccard._tile_pairs
+
+    def counted(placed):
+        pairs = tile_pairs(placed)
+        made[n] = made.get(n, 0) + pairs.count()
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_tile_pairs", counted)
+    for n in (200, 800):
+        docs = brute.documents(spark, edited(n, 8, 1))
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+        if n == 200:
+            rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+            assert got == {d: c for d, _, c in brute.near_duplicates(rows)}
+    # All tiles would meet each other in 16 times as many pairs.
+    assert made.get(800, 0) <= 5.5 * max(made.get(200, 0), 10)
+
+
+def test_similar_sets_share_a_first_shingle():
+    """Whatever shingles count as common, and one of the smaller set's is able."""
+    draw = np.random.default_rng(5)
+    for _ in range(400):
+        base = draw.integers(1, 2**63, draw.integers(4, 90), dtype=np.uint64)
+        a, b = (np.unique(np.append(base[draw.random(len(base)) > 0.1], draw.integers(1, 2**63, draw.integers(0, 9), dtype=np.uint64))) for _ in "ab")
+        shared = len(np.intersect1d(a, b))
+        if not shared or 100 * shared < 75 * (len(a) + len(b) - shared):
+            continue
+        ranked = np.unique(draw.choice(base, 3))
+        times = draw.integers(2, 9, len(ranked))
+        (x, x_able), (y, y_able) = (jaccard.first_shingles(s, ranked, times, 75) for s in (a, b))
+        meet, at_x, at_y = np.intersect1d(x, y, return_indices=True)
+        assert (x_able[at_x] | y_able[at_y]).any()
