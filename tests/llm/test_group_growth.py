@@ -90,3 +90,44 @@ def test_similar_sets_share_a_first_shingle():
         (x, x_able), (y, y_able) = (jaccard.first_shingles(s, ranked, times, 75) for s in (a, b))
         meet, at_x, at_y = np.intersect1d(x, y, return_indices=True)
         assert (x_able[at_x] | y_able[at_y]).any()
+
+
+def test_shingles_of_one_set_alone_are_no_rows(spark, monkeypatch):
+    """Sets of a large group that share few shingles: neither counting nor regrouping makes a row of each shingle."""
+    draw = np.random.default_rng(3)
+    base = np.arange(1, 9, dtype=np.uint64) << np.uint64(50)
+    sets = [np.unique(np.append(base, draw.integers(1, 2**63, 200, dtype=np.uint64))) for _ in range(100)]
+    held = spark.createDataFrame([(i, len(s), s.tobytes()) for i, s in enumerate(sets)], "set long, size long, content binary").repartition(2).cache()
+    monkeypatch.setattr(jaccard, "RANKED_BUCKETS", 16)
+    assert jaccard._shingle_counts(held).count() <= 2 * 16
+    ranked, times = jaccard._ranked(held)
+    assert ranked.tolist() == sorted(base.tolist()) and set(times.tolist()) == {100}
+    taken, stored = [], jaccard.stored
+
+    def kept(df, purpose, *more):
+        out = stored(df, purpose, *more)
+        if purpose == "jaccard-first-shingles":
+            taken.append(out)
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", kept)
+    groups = spark.createDataFrame([(1, i, i, 100) for i in range(100)], "group long, node long, root long, members long")
+    for least in (8, 1000):
+        # With and without a list of shingles that many sets have.
+        monkeypatch.setattr(jaccard, "HOT_LEAST", least)
+        assert jaccard._regrouped(groups, held, 75).isEmpty()
+        assert taken.pop().count() == 0
+
+
+def test_signatures_of_many_sets_are_those_of_each():
+    """Sets of all sizes at once, some empty, more than one piece of them."""
+    draw = np.random.default_rng(4)
+    bands = jaccard.Bands()
+    sets = [np.unique(draw.integers(1, 5000, n, dtype=np.uint64)) for n in [0, 1, 2, 3, 0, 7, 30, 31, 400, 90, 0, 2500] * 12]
+    common = np.arange(0, 5000, 3, dtype=np.uint64)
+    for some in (sets, sets[:1], []):
+        names, owners = jaccard.signatures_of(some, bands, common)
+        for i, s in enumerate(some):
+            assert sorted(names[owners == i].tolist()) == sorted(jaccard.signatures(s, bands, common).tolist())
+        first, second = jaccard.set_hashes(some)
+        assert [(a, b) for a, b in zip(first, second)] == [(x[0], y[0]) for x, y in (jaccard.set_hashes([s]) for s in some)]
