@@ -15,6 +15,8 @@ hashes that are in more than one document are joined with lines again.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,19 @@ NO_ID = 2**63 - 1
 HASH = ["h1", "h2"]
 
 
+def trimmed(line: Column) -> Column:
+    """The line without spaces at its ends.
+
+    ``btrim`` makes a table of all characters of the line, so only lines that begin or
+    end with a space go there.
+    """
+    ends = [at_end(line, F.lit(space)) for space in SPACES for at_end in (F.startswith, F.endswith)]
+    return F.when(reduce(or_, ends), F.btrim(line, F.lit(SPACES))).otherwise(line)
+
+
 def line_key(line: Column) -> Column:
     """The line without spaces at its ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(SPACES)))
+    return ascii_lower(trimmed(line))
 
 
 def lines_of(text: Column) -> Column:
@@ -56,7 +68,8 @@ class LineRuns:
         dropped for another row of its own document. Columns of the batch are kept, but
         the three new ones replace columns of their names.
         """
-        lines = self._lines(docs, id_col, text_col)
+        # Stored, as both the runs and the drops read them: texts are split and hashed once.
+        lines = stored(self._lines(docs, id_col, text_col), "line-hashes")
         # One row per key and batch: its first document here, and whether there is another.
         met = stored(
             lines.groupBy(*HASH).agg(F.min("id").alias("first"), (F.min("id") < F.max("id")).alias("shared")), "line-keys"
@@ -78,26 +91,24 @@ class LineRuns:
             .agg(F.collect_set("at").alias("__dropped"))
             .select(F.col("id").alias("__drop_id"), F.col("text_hash").alias("__drop_hash"), "__dropped")
         )
-        all_lines = lines_of(F.col(text_col))
-        at = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.coalesce("__dropped", F.array().cast("array<int>")))
-        kept = F.transform(at, lambda i: F.get(all_lines, i))
         return (
             docs.join(drops, (_id(id_col) == F.col("__drop_id")) & (F.xxhash64(F.col(text_col)) == F.col("__drop_hash")), "left")
             .select(
                 *[F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")],
-                F.size(all_lines).cast("long").alias("n_lines"),
+                F.size(lines_of(F.col(text_col))).cast("long").alias("n_lines"),
                 F.coalesce(F.size("__dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-                F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
+                F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_col), F.lit(""))).otherwise(_without(F.col(text_col), F.col("__dropped"))).alias("kept_text"),
             )
         )
 
     def _lines(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = docs.select(
             _id(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
-            F.posexplode(F.transform(lines_of(F.col(text_col)), line_key)).alias("at", "key"),
+            F.posexplode(lines_of(F.col(text_col))).alias("at", "line"),
         )
-        long_enough = rows.where(F.char_length("key") >= self.least)
-        return long_enough.select("id", "text_hash", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
+        key = line_key(F.col("line"))  # as long as the trimmed line
+        long_enough = rows.where(F.char_length(trimmed(F.col("line"))) >= self.least)
+        return long_enough.select("id", "text_hash", "at", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"))
 
     def _runs(self) -> DataFrame | None:
         runs = None
@@ -130,6 +141,20 @@ def _id(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(NO_ID))
 
 
+def _without(text: Column, dropped: Column) -> Column:
+    """The lines of the text but those at the dropped places, joined.
+
+    The lines are bound by an outer ``transform``: the inner one takes them by place,
+    and would split the text anew for every line if they stood in it.
+    """
+
+    def kept(lines: Column) -> Column:
+        at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+        return F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n")
+
+    return F.get(F.transform(F.array(lines_of(text)), kept), F.lit(0))
+
+
 def dedup_lines(
     docs: DataFrame, batches: int = 4, id_col: str = "doc_id", text_col: str = "text", fanout: int = 4, least: int = 10
 ) -> DataFrame:
