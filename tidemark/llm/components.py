@@ -5,36 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored_with
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for linked nodes that are no root.
 
     ``links`` has two long columns a and b. Each round is two aggregations and joins;
-    the links are stored between rounds. Rounds grow with the logarithm of the
-    longest chain, and are two or three for star-like groups of copies.
+    the links are stored between rounds, each from its greater node u to its lesser one v. Rounds
+    grow with the logarithm of the longest chain, and are two or three for star-like groups of copies.
     """
-    edges = stored(
+    edges, before = _kept(
         links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
     )
-    before = _digest(edges)
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("w")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w"))
-            .where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least)
-        )
-        edges = stored(small.distinct(), "stars")
-        now = _digest(edges)
+        # A node's greater neighbours go to its least lesser one, or to itself if it has none.
+        least = edges.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        large = edges.join(least, F.col("v") == F.col("w"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+        # Then its lesser ones go to the least of them, and so does the node.
+        least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        joined = large.join(least, F.col("u") == F.col("w"))
+        small = joined.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).where("u != v")
+        edges, now = _kept(small.distinct(), "stars")
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = now
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(cast(v as decimal(20,0)))")).first())
+def _kept(edges: DataFrame, purpose: str) -> tuple[DataFrame, list]:
+    """The stored edges and a digest of them."""
+    return stored_with(edges, purpose, F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("sum(cast(v as decimal(20,0)))"))
